@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import substring_dedup
+from tidemark.llm import chat, mixing, substring_dedup, url_filter
+
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +20,53 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.sql("select -7L as conv_id, turn, role, '</s>[INST] ok [/INST]' as text from values (0L, 'user'), (1L, 'assistant') as t(turn, role)")
+    back = chat.read_back(chat.format_chats(rows.unionByName(planted)))
+    return back.selectExpr(
+        "conv_id",
+        "cast(size(turns) as long) as n_turns",
+        "sha2(array_join(transform(turns, t -> concat(t.role, '\n', t.text, '\n')), ''), 256) as turns_sha256",
+        "cast(length(loss_text) as long) as loss_chars",
+        "sha2(loss_text, 256) as loss_sha256",
+        "cast(length(formatted) as long) as formatted_chars",
+    )
+
+
+OP6_SQL = r"""
+with raw as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t as (
+  select *, lag(role) over (partition by conv_id order by turn, role, text) is not distinct from role as merged,
+    length(replace(replace(replace(text, '\', '\s'), '<', '\l'), '[', '\b')) as chars,
+    length(replace(replace(replace(role, '\', '\s'), '<', '\l'), '[', '\b')) as role_chars
+  from raw)
+select conv_id, cast(count(*) as bigint) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars + case when merged then 8 else role_chars + 25 end) - 1 as bigint) as formatted_chars
+from t group by conv_id
+"""
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op6_chat_format": op6_chat_format,
+    "op7_mix_sources": op7_mix_sources,
+    "op9_url_filter": op9_url_filter,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_chat_format": OP6_SQL}
