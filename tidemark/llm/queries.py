@@ -14,6 +14,7 @@ from tidemark.llm import (
     html_extract,
     mixing,
     ngram_jaccard,
+    pitman_yor,
     quality_qda,
     quality_rules,
     substring_dedup,
@@ -93,6 +94,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_texts(_table(spark, sf_dir, "documents"), F.expr(f"{fold(10)} = 0"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "block_score")
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_chat_format": op6_chat_format,
     "op7_mix_sources": op7_mix_sources,
+    "op8_pitman_yor": op8_pitman_yor,
     "op9_url_filter": op9_url_filter,
     "op10_html_extract": op10_html_extract,
 }
