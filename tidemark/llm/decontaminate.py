@@ -124,24 +124,28 @@ def _matches(index: Index, percent: int, s: np.ndarray, n_words: int) -> dict[in
     return best
 
 
+def _found(index: Index, texts: list[bytes], k: int, percent: int) -> Iterator[tuple[int, dict[int, tuple]]]:
+    """(position of a text, its matches) for the texts that have any."""
+    for i, j in tx.slices(texts):
+        w = tx.words_of(texts[i:j], lower=True)
+        if not len(w.hashes) or not len(index.known):
+            continue
+        whole = tx.rolling(w.hashes, k)
+        touched = np.flatnonzero(index.hits(whole)) if len(whole) else []
+        docs = set(np.unique(w.doc_of_word()[touched]).tolist()) if len(touched) else set()
+        docs |= set(np.flatnonzero((np.diff(w.offsets) < k) & (np.diff(w.offsets) > 0)).tolist())
+        for d in sorted(docs):
+            h = w.hashes[w.offsets[d] : w.offsets[d + 1]]
+            if found := _matches(index, percent, shingles(h, k), len(h)):
+                yield i + d, found
+
+
 def _scan(part, k: int, percent: int, radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(part.value, k, radius)
         for batch in batches:
-            ids, texts = batch.column(batch.schema.get_field_index("doc_id")).to_pylist(), tx.texts_in(batch)
-            out: list[tuple] = []
-            for i, j in tx.slices(texts):
-                w = tx.words_of(texts[i:j], lower=True)
-                if not len(w.hashes) or not len(index.known):
-                    continue
-                whole = tx.rolling(w.hashes, k)
-                touched = np.flatnonzero(index.hits(whole)) if len(whole) else []
-                docs = set(np.unique(w.doc_of_word()[touched]).tolist()) if len(touched) else set()
-                docs |= set(np.flatnonzero((np.diff(w.offsets) < k) & (np.diff(w.offsets) > 0)).tolist())
-                for d in sorted(docs):
-                    h = w.hashes[w.offsets[d] : w.offsets[d + 1]]
-                    for x, m in sorted(_matches(index, percent, shingles(h, k), len(h)).items()):
-                        out.append((ids[i + d], index.items[x][0], *m))
+            ids, texts = tx.column(batch, "doc_id"), tx.texts_in(batch)
+            out = [(ids[d], index.items[x][0], *m) for d, found in _found(index, texts, k, percent) for x, m in sorted(found.items())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[c] for r in out], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()))],
                 names=["doc_id", "item_id", "similarity", "start", "n_words", "hamming"],
@@ -150,17 +154,43 @@ def _scan(part, k: int, percent: int, radius: int):
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, item_id, similarity, start, n_words, hamming): the best window of each leaked item."""
-    spark = docs.sparkSession
-    if radius // BLOCKS * BLOCKS + BLOCKS - 1 < radius:
-        raise ValueError("the radius is beyond what the blocks guarantee")
+def _drop(part, k: int, percent: int, radius: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(part.value, k, radius)
+        for batch in batches:
+            clean = np.ones(batch.num_rows, dtype=bool)
+            clean[[d for d, _ in _found(index, tx.texts_in(batch), k, percent)]] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
+def _parts(benchmark: DataFrame) -> Iterator:
+    """Broadcasts of the items, of at most about PART_BYTES each."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    parts = max(1, -(-2 * size // PART_BYTES)) if size > PART_BYTES else 1
-    slim, found = docs.select("doc_id", "text"), []
+    parts = 1 if size <= PART_BYTES else -(-2 * size // PART_BYTES)
     for p in range(parts):
         own = items if parts == 1 else items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(parts)) == p)
-        held = spark.sparkContext.broadcast([tuple(r) for r in own.toLocalIterator()])
-        found.append(slim.mapInArrow(_scan(held, k, percent, radius), "doc_id long, item_id long, similarity double, start int, n_words int, hamming int"))
-    return reduce(DataFrame.unionByName, found)
+        yield benchmark.sparkSession.sparkContext.broadcast([tuple(r) for r in own.toLocalIterator()])
+
+
+def _checked(radius: int) -> None:
+    if radius // BLOCKS * BLOCKS + BLOCKS - 1 < radius:
+        raise ValueError("the radius is beyond what the blocks guarantee")
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` that contain no item, unchanged; texts are not shuffled."""
+    _checked(radius)
+    for part in _parts(benchmark):
+        docs = docs.mapInArrow(_drop(part, k, percent, radius), docs.schema)
+    return docs
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, item_id, similarity, start, n_words, hamming): the best window of each leaked item."""
+    _checked(radius)
+    slim = docs.select("doc_id", "text")
+    out = "doc_id long, item_id long, similarity double, start int, n_words int, hamming int"
+    return reduce(DataFrame.unionByName, [slim.mapInArrow(_scan(part, k, percent, radius), out) for part in _parts(benchmark)])

@@ -84,18 +84,24 @@ def counts_of(texts: list[bytes]) -> dict[str, np.ndarray]:
     return out
 
 
-def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = tx.texts_in(batch)
-        rest = [n for n in batch.schema.names if n != "text"]
-        for i, j in tx.slices(texts):
-            found = counts_of(texts[i:j])
-            part = batch.slice(i, j - i)
-            yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in rest), *(pa.array(found[n]) for n in COUNTS)], names=[*rest, *COUNTS])
-
-
-def document_counts(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` but text, with the counts; a column named like one is replaced."""
+def _stats(text: str, rest: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = tx.texts_in(batch, text)
+            for i, j in tx.slices(texts):
+                found = counts_of(texts[i:j])
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in rest), *(pa.array(found[n]) for n in COUNTS)], names=[*rest, *COUNTS])
+
+    return run
+
+
+def document_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs``, all but the text by default, with the counts.
+
+    A column named like a count is replaced.
+    """
     docs = docs.drop(*COUNTS)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
-    return docs.mapInArrow(_stats, ", ".join([*fields, *(f"{n} long" for n in COUNTS)]))
+    rest = [c for c in docs.columns if c != text] if keep is None else keep
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema]
+    return docs.mapInArrow(_stats(text, rest), ", ".join([*fields, *(f"{n} long" for n in COUNTS)]))

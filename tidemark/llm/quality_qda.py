@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.doc_stats import document_counts
+from tidemark.llm.store import save
 
 SHRINK_POOLED, SHRINK_DIAGONAL = 0.05, 0.05
 FLOOR = 1e-4
@@ -115,9 +116,17 @@ def score_column(model: Model | None) -> Column:
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, label: str = "quality") -> DataFrame:
     """(doc_id, score, predicted) for every row of ``docs``; ``learn_from`` selects the rows labels may be used of."""
-    from tidemark.llm.store import save
-
     rows = save(with_features(document_counts(docs.select("doc_id", "text"))).select("doc_id", *FEATURES), "features")
     learned = rows if learn_from is None else rows.where(learn_from)
     model = fit(learned.join(majority(labels, label), "doc_id"))
     return rows.select("doc_id", score_column(model).alias("score")).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, label: str = "quality", cut: float = CUT) -> DataFrame:
+    """The rows of ``docs`` that score ``cut`` or more, unchanged; texts are not shuffled."""
+    rows = save(with_features(document_counts(docs.select("doc_id", "text"))).select("doc_id", *FEATURES), "features")
+    learned = rows if learn_from is None else rows.where(learn_from)
+    model = fit(learned.join(majority(labels, label), "doc_id"))
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_text"))
+    scored = with_features(document_counts(whole, "_text", ["_row"]))
+    return scored.where(score_column(model) >= cut).select("_row.*")
