@@ -20,8 +20,8 @@ class DatasetSpec:
 
 SPECS = {
     "klines": DatasetSpec("klines", "klines"),
-    "mark": DatasetSpec("mark", "markPriceKlines"),
-    "index": DatasetSpec("index", "indexPriceKlines"),
+    "mark": DatasetSpec("mark", "mark"),
+    "index": DatasetSpec("index", "index"),
     "funding": DatasetSpec("funding", "fundingRates", False),
 }
 
