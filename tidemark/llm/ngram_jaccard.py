@@ -15,11 +15,13 @@ sets both sign up to the one that is proof for either, so no pair is lost.
 
 Equal sets have one node. Signatures travel packed, 12 bytes each, in one row to
 a slice of documents and bucket, so one common signature is not one hot key. A
-signature of up to SMALL nodes yields all its pairs, a larger one a star, and is
-gone through again after the components of the verified pairs are known: pairs
-of nodes in different components, block by block, with a lower bound of their
-difference from bucket counts, then verified. Every pair that could connect two
-components is so compared exactly; copies are never expanded into pairs.
+signature of up to SMALL nodes yields all its pairs, a larger one a star. Pairs
+whose profiles, counts of features by bucket, show too great a difference are
+dropped and the others verified on whole texts. Once the components of the
+verified pairs are known, larger signatures with more than one are gone through
+again: their documents in different components are compared exactly, block by
+block, and one link is returned for each union. Every pair that could connect two
+components is so compared; copies are never expanded into pairs.
 
 Null and empty texts have an empty set and no links. A document with fewer words
 than a shingle has its whole word sequence as one feature. A null doc_id gets a
@@ -44,10 +46,11 @@ WORDS = 5
 PERCENT = 80
 RATIO = 1.6
 SMALL = 6
-#: Members of one block where a large signature's nodes are compared.
-BLOCK = 2048
-PROFILE = 128
+#: Documents of a block where those of large signatures are compared.
+BLOCK = 1024
 MAX_SEEDS = 64
+#: Buckets of a set's profile.
+PROFILE = 256
 _U = np.uint64
 _LOW48 = _U((1 << 48) - 1)
 
@@ -72,6 +75,14 @@ def digest(s: np.ndarray) -> int:
     return int(tx.mix(np.array([tx.mix(s, 21).sum(dtype=_U) + _U(len(s))]), 22).view(np.int64)[0])
 
 
+def profile(s: np.ndarray) -> bytes:
+    """Numbers of features by bucket, 255 at most each.
+
+    The summed differences of two profiles are never more than the sets' own difference.
+    """
+    return np.minimum(np.bincount((tx.mix(s, 61) >> _U(56)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes()
+
+
 def bands(largest: int, ratio: float = RATIO) -> np.ndarray:
     """First sizes of the bands, up to the one behind ``largest``."""
     out = [1]
@@ -139,7 +150,8 @@ def _sets(k: int):
             texts, ids = tx.texts_in(batch), batch.column(batch.schema.get_field_index("doc_id"))
             for i, j in tx.slices(texts):
                 sets = shingles_of(tx.words_of(texts[i:j], lower=True), k)
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.int64())], names=["doc_id", "n_shingles", "node"])
+                cols = [ids.slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.int64()), pa.array([profile(s) for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "node", "profile"])
 
     return run
 
@@ -231,6 +243,22 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([tx.signed(sig[member]), pa.array(node[member].astype(np.int64)), pa.nulls(len(member), pa.int64()), pa.nulls(len(member), pa.int64())], names=["sig", "a", "b", "shared"])
 
 
+def _possible(percent: int):
+    """Pairs whose profiles leave the similarity possible."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = np.zeros(0, dtype=bool)
+            for i in range(0, batch.num_rows, 4096):
+                part = batch.slice(i, 4096)
+                a, b = (np.frombuffer(b"".join(tx.column(part, c)), dtype=np.uint8).reshape(-1, PROFILE).astype(np.int16) for c in ("pa", "pb"))
+                size = part.column(part.schema.get_field_index("na")).to_numpy() + part.column(part.schema.get_field_index("nb")).to_numpy()
+                kept = np.append(kept, (100 + percent) * np.abs(a - b).sum(axis=1, dtype=np.int64) <= (100 - percent) * size)
+            yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b", "shared"])
+
+    return run
+
+
 def _verify(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int | None, np.ndarray | None] = (None, None)
@@ -249,35 +277,36 @@ def _verify(k: int, percent: int):
     return run
 
 
-def _profiles(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, ids = tx.texts_in(batch), batch.column(batch.schema.get_field_index("doc_id"))
-            for i, j in tx.slices(texts):
-                sets = shingles_of(tx.words_of(texts[i:j], lower=True), k)
-                rows = [np.bincount((tx.mix(s, 61) % _U(PROFILE)).astype(np.int64), minlength=PROFILE).astype(np.int32).tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(rows, pa.binary())], names=["doc_id", "profile"])
+def _across(k: int, percent: int):
+    """Links between components among the documents of one family, or of two of its blocks.
 
-    return run
-
-
-def _across(percent: int):
-    """Pairs of one (signature, block pair) in different components that the profiles leave possible."""
+    Every pair of different components is compared, one link for each union is returned.
+    """
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        ids, comp, size, side = (table.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles", "side"))
-        prof = np.frombuffer(b"".join(table.column("profile").to_pylist()), dtype=np.int32).reshape(len(ids), PROFILE)
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        out: list[np.ndarray] = []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & (ids[right] != ids[x])]
-            y = y[100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x])]
-            if len(y):
-                least = np.abs(prof[y] - prof[x]).sum(axis=1)
-                y = y[(100 + percent) * least <= (100 - percent) * (size[y] + size[x])]
-                out.append(np.stack([np.minimum(ids[y], ids[x]), np.maximum(ids[y], ids[x])], axis=1))
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), dtype=np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+        ids, comp, side = (table.column(c).to_numpy() for c in ("doc_id", "component", "side"))
+        texts = [t or b"" for t in table.column("text").cast(pa.binary()).to_pylist()]
+        sets = [s for i, j in tx.slices(texts) for s in shingles_of(tx.words_of(texts[i:j], lower=True), k)]
+        size = np.array([len(s) for s in sets], dtype=np.int64)
+        feature = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        at = np.append(0, np.cumsum(size))
+        names, root = np.unique(comp, return_inverse=True)
+        outside = np.flatnonzero(root != np.bincount(root).argmax())
+        mark, out = np.zeros(int(feature.max()) + 1, dtype=np.int64), []
+        for x in outside:
+            open_ = (root != root[x]) & ((side == 2) | (side != side[x]))
+            open_ &= 100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x])
+            if not open_.any():
+                continue
+            own = feature[at[x] : at[x + 1]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[feature], at[:-1])
+            mark[own] = 0
+            for y in np.flatnonzero(open_ & (100 * both >= percent * (size + size[x] - both))):
+                if root[y] != root[x]:
+                    out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                    root[root == root[y]] = root[x]
+        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
 
     return run
 
@@ -297,42 +326,47 @@ def _open(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _residual(members: DataFrame, comps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Possible pairs across components among the nodes of large signatures."""
-    own = members.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    span = own.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi").select("sig", "n")
-    left = save(own.join(span, "sig"), "residual")
-    profiles = save(texts.join(left.select("doc_id").distinct(), "doc_id").select("doc_id", "text").mapInArrow(_profiles(k), "doc_id long, profile binary"), "profiles")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
-    placed = left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).join(profiles, "doc_id")
-    # block x meets every block y, itself included: the pair (min, max); side 2 is both
+    """Links across components among the documents of large signatures.
+
+    Signatures with one component only are done. The others are gathered in families, those
+    with the same largest component, so that a document is compared once for all of them.
+    """
+    own = save(members.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "members")
+    parts = own.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
+    family = parts.groupBy("sig").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("family"), (F.count(F.lit(1)) > 1).alias("open")).where("open")
+    inside = save(own.join(family, "sig").select("family", "doc_id", "component").distinct(), "families")
+    blocks = inside.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = inside.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).join(texts, "doc_id")
+    # block x meets every block y, itself included, as the pair (least, greatest); side 2 is both
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).selectExpr(
-        "sig", "least(block, other) as x", "greatest(block, other) as y", "doc_id", "component", "n_shingles", "profile", "if(block = other, 2, if(block < other, 0, 1)) as side"
+        "family", "least(block, other) as x", "greatest(block, other) as y", "doc_id", "component", "text", "if(block = other, 2, if(block < other, 0, 1)) as side"
     )
-    return met.groupBy("sig", "x", "y").applyInArrow(_across(percent), "a long, b long").distinct()
+    return save(met.groupBy("family", "x", "y").applyInArrow(_across(k, percent), "a long, b long").distinct(), "late")
 
 
 def similar_groups(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) for each row of ``docs``.
+    """(doc_id, n_shingles, component_id, links_used) for each row of ``docs``.
 
     component_id is the smallest doc_id reachable by links, the document's own
-    included; n_links counts verified links of the document's set to other sets.
+    included; links_used counts the links of its set to others that were needed
+    to join the component, not those within it that were left untested.
     """
     spark: SparkSession = docs.sparkSession
     slim = docs.select("doc_id", "text")
-    rows = save(slim.mapInArrow(_sets(k), "doc_id long, n_shingles long, node long"), "sets")
+    rows = save(slim.mapInArrow(_sets(k), "doc_id long, n_shingles long, node long, profile binary"), "sets")
     keyed = rows.where("doc_id is not null and n_shingles > 0")
-    nodes = save(keyed.groupBy("node", "n_shingles").agg(F.min("doc_id").alias("rep")), "nodes").withColumn("low", F.expr("node & 281474976710655"))
+    nodes = save(keyed.groupBy("node", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("profile").alias("profile")), "nodes").withColumn("low", F.expr("node & 281474976710655"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(max(64, 4 * tasks), 1 << 16)
     packed = slim.where("doc_id is not null").mapInArrow(_packed(k, percent, buckets), "bucket int, sigs binary, nodes binary")
     met = save(packed.repartition(tasks, "bucket").mapInArrow(_meet, "sig long, a long, b long, shared long"), "met")
 
     def rep(x: str) -> DataFrame:
-        return nodes.select(F.col("low").alias(x), F.col("rep").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}"))
+        return nodes.select(F.col("low").alias(x), F.col("rep").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}"), F.col("profile").alias(f"p{x}"))
 
     pairs = met.where("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared")).join(rep("a"), "a").join(rep("b"), "b")
-    pairs = pairs.where(f"ra <> rb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").selectExpr("least(ra, rb) as a", "greatest(ra, rb) as b", "shared")
-    pairs = save(pairs, "pairs")
+    pairs = pairs.where(f"ra <> rb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").selectExpr("least(ra, rb) as a", "greatest(ra, rb) as b", "shared", "na", "nb", "pa", "pb")
+    pairs = save(pairs.mapInArrow(_possible(percent), "a long, b long, shared long"), "pairs")
     members = save(met.where("b is null").select("sig", F.col("a").alias("low")).join(nodes.select("low", F.col("rep").alias("doc_id"), "n_shingles"), "low").drop("low"), "members")
     known = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(members.select("doc_id")).distinct()
     texts = save(slim.join(known, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
@@ -346,14 +380,13 @@ def similar_groups(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> D
     if not rest.isEmpty():
         comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest))
     if not members.isEmpty():
-        late = _links(_open(_residual(members, comps, texts, k, percent), comps), texts, k, percent)
+        late = _residual(members, comps, texts, k, percent)
         links = links.unionByName(late)
         if not late.isEmpty():
             comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
 
-    found = links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
+    found = links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count(F.lit(1)).alias("links_used"))
     classes = nodes.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").join(found, "rep", "left")
-    classes = classes.select("node", "n_shingles", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    # salted against a set that very many documents share: classes are spread over the same salts
-    joined = rows.join(classes, ["node", "n_shingles"], "left")
-    return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    classes = classes.select("node", "n_shingles", F.coalesce("component", "rep").alias("component"), F.coalesce("links_used", F.lit(0)).alias("links_used"))
+    joined = rows.drop("profile").join(classes, ["node", "n_shingles"], "left")
+    return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"), F.coalesce("links_used", F.lit(0)).cast("long").alias("links_used"))
