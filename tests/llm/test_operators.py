@@ -1,0 +1,523 @@
+"""Each operator against a brute-force version, and on awkward rows."""
+
+import collections
+import hashlib
+import math
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words long, size long, rule string"
+
+
+def low(t):
+    return (t or "").translate({c: c + 32 for c in range(65, 91)}).encode().split()
+
+
+def sentence(rng, n, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+def awkward(rng):
+    """Null, empty, very long, repeated and tied rows; columns whose names operators also use."""
+    long = sentence(rng, 30_000, 5000)
+    base = sentence(rng, 120)
+    edited = base.split()
+    edited[60] = "other"
+    texts = [None, "", "   \n\t", "one", "A b", base, base, base.upper(), " ".join(edited), long, "x" * 200_000, base + "\n" + base, sentence(rng, 60) + " " + " ".join(base.split()[10:80])]
+    texts += [sentence(rng, 80) for _ in range(12)]
+    rows = [(i, t, random.Random(i).choice(["en", "de", None]), random.Random(i + 9).choice(["s1", "s2", None]), 1, 7, 8, "r") for i, t in enumerate(texts)]
+    rows.append(rows[5])
+    rows.append((None, base, None, None, None, None, None, None))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = awkward(random.Random(3))
+    return spark.createDataFrame(rows, SCHEMA).repartition(3), rows
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_decontaminate(spark, docs, empty):
+    from tidemark.llm.decontaminate import contaminated, without_leaks
+
+    df, rows = docs
+    rng = random.Random(4)
+    item = sentence(rng, 40)
+    near = item.split()
+    near[0] = "changed"
+    part = " ".join(item.split()[:20])
+    bench = spark.createDataFrame([(1, item, "x"), (2, "tiny one", "x"), (3, None, "x"), (4, "", "x"), (1, item, "x")], "item_id long, text string, doc_id string")
+    leaks = [(100, "pre " + item + " post"), (101, "a b c " + " ".join(near).upper()), (102, "z " + part), (103, "Tiny\tONE"), (104, sentence(rng, 5) + " tiny one")]
+    all_ = df.select("doc_id", "text").union(spark.createDataFrame(leaks, "doc_id long, text string"))
+    found = contaminated(all_, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(100, 1), (101, 1), (103, 2)}
+    best = {r.doc_id: r for r in found}
+    assert best[100].similarity == 1.0 and best[100].start == 1 and best[100].hamming == 0 and 0.8 <= best[101].similarity < 1
+    kept = without_leaks(all_, bench)
+    assert kept.count() == all_.count() - 3 and kept.columns == all_.columns
+    assert contaminated(empty, bench).count() == 0 and contaminated(df, bench.limit(0)).count() == 0
+
+
+def test_decontaminate_in_parts_and_against_brute_force(spark, monkeypatch):
+    from tidemark.llm import decontaminate as d
+
+    rng = random.Random(8)
+    items = [sentence(rng, rng.randint(6, 30), 30) for _ in range(25)]
+    texts = []
+    for _ in range(60):
+        w = sentence(rng, rng.randint(0, 60), 30).split()
+        it = rng.choice(items).split()
+        if rng.random() < 0.5 and len(it) > 3:
+            it[rng.randrange(len(it))] = "edit"
+        w[len(w) // 2 : len(w) // 2] = it
+        texts.append(" ".join(w))
+    sh = lambda w: collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else collections.Counter([tuple(w)])
+    expected = {}
+    for i, t in enumerate(texts):
+        w = low(t)
+        for j, s in enumerate(items):
+            n, own = len(low(s)), sh(low(s))
+            for a in range(max(1, len(w) - n + 1)):
+                x = sh(w[a : a + n])
+                both, union = sum((x & own).values()), sum((x | own).values())
+                if 100 * both >= 80 * union and both / union > expected.get((i, j), (0, 0))[0]:
+                    expected[i, j] = (both / union, a)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    monkeypatch.setattr(d, "PART_BYTES", 1500)
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in d.contaminated(df, bench).collect()}
+    assert got == expected and expected
+
+
+def brute_repeats(rows, k):
+    by_id = {}
+    for i, t in rows:
+        by_id.setdefault(i, set()).add(t or "")
+    first = {}
+    for i in sorted(x for x in by_id if x is not None):
+        for t in by_id[i]:
+            w = t.encode().split()
+            for a in range(len(w) - k + 1):
+                first.setdefault(tuple(w[a : a + k]), i)
+    out = []
+    for i, t in rows:
+        w = (t or "").encode().split()
+        gone = [False] * len(w)
+        for a in range(len(w) - k + 1):
+            if i is not None and first[tuple(w[a : a + k])] < i:
+                gone[a : a + k] = [True] * k
+        kept = b" ".join(x for x, g in zip(w, gone) if not g)
+        out.append((i, len(w), sum(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("k", [50, 20])
+def test_substring_dedup(docs, empty, k):
+    from tidemark.llm.substring_dedup import remove_repeats
+
+    df, rows = docs
+    got = remove_repeats(df, k, with_text=True)
+    assert "rule" in got.columns
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got.collect()), key=str) == brute_repeats([(r[0], r[1]) for r in rows], k)
+    assert remove_repeats(empty, k).count() == 0
+
+
+def test_substring_dedup_over_branching_and_periodic_texts(spark):
+    from tidemark.llm.substring_dedup import remove_repeats
+
+    rng = random.Random(11)
+    base = sentence(rng, 200).split()
+    rows = [(i, " ".join(base)) for i in (5, 9)]
+    for i in range(20):
+        w = list(base)
+        for _ in range(rng.randint(1, 4)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(99)}"
+        a, b = sorted(rng.sample(range(len(w)), 2))
+        rows.append((10 + i, " ".join(rng.choice([w, w[a:b], sentence(rng, 10).split() + w[a:b], (w[:7] * 30)[: rng.randint(40, 200)]]))))
+    rows += [(50, "a b " * 60), (51, "b a " * 40), (52, "a b " * 24)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeats(df, 30).collect()), key=str)
+    assert got == brute_repeats(rows, 30)
+
+
+def features(t):
+    w = low(t)
+    return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def brute_components(rows, percent=80):
+    sets = {}
+    for i, t in rows:
+        sets.setdefault(i, []).append(features(t))
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(x for x in sets if x is not None)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            if any(s and t and 100 * len(s & t) >= percent * len(s | t) for s in sets[a] for t in sets[b]):
+                p, q = find(a), find(b)
+                parent[max(p, q)] = min(p, q)
+    return {i: find(i) for i in ids}
+
+
+def test_ngram_jaccard(docs, empty):
+    from tidemark.llm.ngram_jaccard import similar_groups
+
+    df, rows = docs
+    got = similar_groups(df).collect()
+    expected = brute_components([(r[0], r[1]) for r in rows])
+    assert len(got) == len(rows)
+    sizes = collections.Counter((r[0], len(features(r[1]))) for r in rows)
+    assert collections.Counter((r.doc_id, r.n_shingles) for r in got) == sizes
+    assert all(r.component_id == expected.get(r.doc_id) for r in got)
+    assert similar_groups(empty).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ngram_jaccard_of_families_and_common_passages(spark, seed, monkeypatch):
+    from tidemark.llm import ngram_jaccard as j
+
+    monkeypatch.setattr(j, "BLOCK", 16)
+    rng = random.Random(seed)
+    passage, rows = sentence(rng, 40), []
+    for f in range(6):
+        base = sentence(rng, rng.choice([4, 6, 9, 15, 40, 150])).split()
+        for _ in range(rng.choice([2, 5, 40])):
+            w = list(base)
+            for _ in range(rng.randint(0, max(1, len(w) // 25))):
+                w[rng.randrange(len(w))] = f"e{rng.randrange(999)}"
+            rows.append(" ".join(w + (["end"] if rng.random() < 0.3 else [])))
+    rows += [sentence(rng, rng.randint(5, 60)) + " " + passage for _ in range(40)]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r.doc_id: r.component_id for r in j.similar_groups(df).collect()} == brute_components(rows)
+
+
+def test_signatures_are_shared_by_all_similar_sets():
+    import numpy as np
+
+    from tidemark.llm.ngram_jaccard import signatures
+
+    rng = np.random.default_rng(5)
+    for _ in range(150):
+        n = int(rng.integers(4, 400))
+        a = rng.choice(1 << 62, n, replace=False).astype(np.uint64)
+        drop, add = int(rng.integers(0, n // 5 + 1)), int(rng.integers(0, n // 5 + 1))
+        b = np.concatenate([a[drop:], rng.choice(1 << 62, add).astype(np.uint64)])
+        both = len(np.intersect1d(a, b))
+        if 100 * both < 80 * (len(a) + len(b) - both) or drop + add == 0:
+            continue
+        who, sig = signatures([np.sort(a), np.sort(b)])
+        assert set(sig[who == 0]) & set(sig[who == 1]), (n, drop, add)
+
+
+def test_components(spark):
+    from tidemark.llm.components import components
+
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100), (60, 50), (70, 60), (50, 70)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 50: 50, 60: 50, 70: 50}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def junk(rng, kind):
+    w = sentence(rng, rng.randint(40, 200)).split()
+    return {0: " ".join(x + "###" for x in w), 1: " ".join(w).upper().replace(" ", "!! "), 2: (w[0] + " ") * 80, 3: "\n".join([" ".join(w[:8]) + "."] * 20), 4: " | ".join(w)}[kind]
+
+
+def labelled(spark, n=900):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(n):
+        good = rng.random() < 0.7
+        t = ". ".join(sentence(rng, rng.randint(5, 15)).capitalize() for _ in range(rng.randint(6, 25))) + "." if good else junk(rng, rng.randrange(5))
+        rows.append((i, t, rng.choice(["en", "de"])))
+        labels.append((i, int(good)))
+    labels += [labels[0], (None, 1), (10**9, 0), (3, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int"), dict(labels[:n])
+
+
+def test_quality_qda(spark, docs, empty):
+    from tidemark.llm import quality_qda as q
+
+    df, labels, truth = labelled(spark)
+    scored = q.score_quality(df, labels, F.expr("doc_id % 2 = 0")).collect()
+    held = [r for r in scored if r.doc_id % 2]
+    assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.97
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= q.CUT) for r in scored)
+    kept = q.keep_good(df, labels)
+    assert kept.columns == df.columns and 0.9 < kept.count() / sum(truth.values()) < 1.1
+    odd, rows = docs
+    other = q.score_quality(odd, labels.limit(0)).collect()
+    assert len(other) == len(rows) and {r.score for r in other} == {0.5}
+    assert len(q.score_quality(odd, spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")).collect()) == len(rows)
+    assert q.score_quality(empty, labels).count() == 0 and q.keep_good(odd, labels.limit(0)).count() == len(rows)
+
+
+def brute_counts(t):
+    t = t or ""
+    w = t.encode().split()
+    seen, dup = set(), 0
+    for line in t.encode().split(b"\n"):
+        if line.split():
+            dup += line in seen
+            seen.add(line)
+    grams = collections.Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    cover = set()
+    for i in range(len(w) - 2):
+        if grams[tuple(w[i : i + 3])] > 1:
+            cover |= {i, i + 1, i + 2}
+    return len(w), sum(len(x.decode()) for x in w), sum(c in "#*$%&|<>" for c in t), dup, len(cover)
+
+
+def test_quality_rules(spark, docs, empty):
+    from tidemark.llm import quality_rules as q
+
+    odd, rows = docs
+    got = q.apply_rules(odd, spark.createDataFrame([], "doc_id long, quality int")).collect()
+    assert collections.Counter((r.doc_id, *(r[c] for c in q.BASE)) for r in got) == collections.Counter((r[0], *brute_counts(r[1])) for r in rows)
+    assert all(r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) and r.kept == (not r.base_failed) for r in got)
+    assert q.apply_rules(empty, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
+    df, labels, truth = labelled(spark, 3000)
+    got = q.apply_rules(df, labels).collect()
+    good = [r for r in got if truth[r.doc_id] and not r.base_failed]
+    bad = [r for r in got if not truth[r.doc_id] and not r.base_failed]
+    assert sum(not r.kept for r in good) <= len(q.RULES) * q.RISK * len(good) and sum(not r.kept for r in bad) > 0.5 * len(bad)
+    for t in ("a\na\n \nb\na", "x y z x y z", "a b c d", "\n\n"):
+        from tidemark.llm.doc_stats import counts_of
+
+        c = counts_of([t.encode(), b""])
+        assert tuple(int(c[n][0]) for n in q.BASE) == brute_counts(t) and int(c["n_words"][1]) == 0
+
+
+def test_binomial_bounds():
+    from tidemark.llm.quality_rules import binomial_tail, certify, choose
+
+    exact = lambda k, n, p: sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+    for k, n, p in ((0, 10, 0.1), (3, 50, 0.02), (7, 40, 0.3), (10, 10, 0.5)):
+        assert abs(binomial_tail(k, n, p) - exact(k, n, p)) < 1e-9
+    assert certify([5, 0, 0], 10, 0.05) is None  # too few to be sure
+    assert certify([900, 1, 0], 10_000, 0.05) == 1
+    assert choose([900, 1, 0, 0, 0], 10_000, [50, 50, 50, 50, 9], 100, 0.05) == 2 and choose([0], 10_000, [0], 100, 0.05) is None
+
+
+def test_chat(spark):
+    from tidemark.llm.chat import format_chats, read_back
+
+    rows = [
+        (1, 0, "system", "be [good] <|end|> \\s \\"), (1, 1, "user", "a"), (1, 2, "user", None), (1, 3, "assistant", "x <|more|>"), (1, 4, "assistant", "y"), (1, 5, None, ""),
+        (2, 1, "assistant", "late"), (2, 0, "user", "</s>[INST] ok [/INST]"), (2, 0, "user", "</s>[INST] ok [/INST]"), (None, 0, "a<|text|>b\n", "é" * 10), (3, None, "user", "null turn"), (3, 0, "user", "z"),
+    ]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "conv_id long, turn long, role string, text string, turns int, blocks int")
+    formatted = format_chats(df)
+    got = {r.conv_id: r for r in read_back(formatted).collect()}
+    for c in (1, 2, None, 3):
+        own = sorted((r for r in rows if r[0] == c), key=lambda r: (-1 if r[1] is None else r[1], r[2] or "", r[3] or ""))
+        assert [(t.role, t.text) for t in got[c].turns] == [(r[2] or "", r[3] or "") for r in own]
+        assert got[c].loss_text == "".join(r[3] or "" for r in own if r[2] == "assistant")
+    assert got[1].formatted.count("<|start|>") == 4 and "</s>" not in got[2].formatted and "[INST]" not in got[2].formatted
+    assert format_chats(df.limit(0)).count() == 0
+    plan = read_back(formatted)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def water(sizes, weights=(5, 2, 1), most=3):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % 3] for i, s in enumerate(names)}
+    target, open_, left = {}, set(names), sum(sizes.values())
+    while open_:
+        level = left / sum(w[s] for s in open_)
+        full = {s for s in open_ if most * sizes[s] < level * w[s]}
+        if not full:
+            return target | {s: level * w[s] for s in open_}
+        target |= {s: float(most * sizes[s]) for s in full}
+        left -= sum(target[s] for s in full)
+        open_ -= full
+    return target
+
+
+def test_mixing(spark, docs, empty):
+    from tidemark.llm import mixing as m
+
+    df, rows = docs
+    one = m.mix_sources(df).collect()
+    assert sorted(map(str, one)) == sorted(map(str, m.mix_sources(df.repartition(7)).collect()))
+    assert len(one) == len(rows) and m.mix_sources(empty).count() == 0
+    rng = random.Random(1)
+    rows = [(i, sentence(rng, rng.randint(0, 40)), rng.choice(["a", "b", "b", "b", "c", "Z", None, "tiny"] if i > 5 else ["tiny"])) for i in range(3000)]
+    got = m.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    sizes = collections.Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    expected, taken = water(sizes), collections.Counter()
+    for r in got:
+        assert r.taken in (0, r.size, 2 * r.size, 3 * r.size) and abs(r.target - expected[r.source]) < 1e-6 * max(1, r.target) and r.source_size == sizes[r.source]
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - expected[s]) <= 40 for s in sizes)
+    plan = m.mix_sources(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_mixing_by_weight_of_documents(spark):
+    from tidemark.llm import mixing as m
+
+    rows = [(i, "a b c d", "x", 9.0 if i % 2 else 1.0) for i in range(8000)] + [(i, "a b c d", "y", 1.0) for i in range(8000, 16000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, w double")
+    got = m.mix_sources(df, weights=(1.0, 7.0), inclusion=F.col("w"))
+    heavy, light = (got.where(f"source = 'x' and w = {w}").agg(F.sum("taken")).first()[0] for w in (9.0, 1.0))
+    assert heavy > 3 * light > 0 and abs(heavy + light - got.where("source = 'x'").first().target) <= 4
+
+
+def test_pitman_yor(spark, docs, empty):
+    from tidemark.llm.pitman_yor import score_texts
+
+    df, rows = docs
+    got = score_texts(df, F.expr("doc_id % 3 = 0")).collect()
+    train = collections.Counter()
+    tokens = lambda t: [*low(t), None]
+    for r in rows:
+        if r[0] is None or r[0] % 3:
+            train.update(tokens(r[1]))
+    n, v = sum(train.values()), len(train)
+    expected = collections.Counter()
+    for r in rows:
+        t = tokens(r[1])
+        base = sum(math.log10((train[x] + 0.1) / (n + 0.1 * (v + 1))) for x in t)
+        expected[r[0], r[0] is not None and r[0] % 3 == 0, len(t), sum(train[x] > 0 for x in t), n, round(base, 4)] += 1
+    assert collections.Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == expected
+    assert all(r.score < 0 for r in got)
+    assert score_texts(empty, F.lit(False)).count() == 0
+    assert all(r.score <= 0 for r in score_texts(df, F.lit(True)).collect())  # nothing to learn from
+
+
+def test_pitman_yor_learns_pairs_and_sums_to_one(spark):
+    import numpy as np
+
+    from tidemark.llm import pitman_yor as p
+
+    rng = random.Random(2)
+    follow = {i: [rng.randrange(30) for _ in range(3)] for i in range(30)}
+
+    def text():
+        w, out = rng.randrange(30), []
+        for _ in range(60):
+            out.append(f"v{w}")
+            w = rng.choice(follow[w])
+        return " ".join(out)
+
+    df = spark.createDataFrame([(i, text()) for i in range(300)], "doc_id long, text string")
+    held = p.score_texts(df, F.expr("doc_id % 5 = 0")).where("held_out").agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
+    assert held[0] > held[1] + 0.5
+    # one context: predictive probabilities over all dishes, and over what is new, make one
+    c, p0 = np.array([5, 3, 1, 0, 0]), np.full(5, 0.2)
+    assert abs(p.predictive(c, np.zeros(5, dtype=np.int64), p0, 1).sum() - 1) < 1e-9
+    many = p.seat(np.array([1, 2, 100_000]), np.zeros(3), np.array([0.1, 0.1, 0.1]), np.random.default_rng(1))
+    assert many[0] == 1 and 1 <= many[1] <= 2 and 1 < many[2] < 100_000
+
+
+def test_url_filter(spark):
+    from tidemark.llm.url_filter import filter_urls
+
+    urls = ["http://A.COM/x", "http://b.com", "https://example.com/en/1", "https://m.Example.com/en/", "https://www.example.com/en/2", "https://m.www.example.com/en/2", "http://x.net/es/?q", "ftp://y.net/fr/#a", "http://notcom/", "x.org/y", None, "", "http://h.org?a://b/c", "http://i.org#/x", "http://a.net/en/", "a://b://c/d", "http://example.com/en"]
+    df = spark.createDataFrame([(i, u, "clash", "clash", 1.0) for i, u in enumerate(urls)], "page_id long, url string, host string, suffix string, length double")
+    got = filter_urls(df).collect()
+    by = {r.page_id: r for r in got}
+
+    def parts(u):
+        if not u or "://" not in u:
+            return "", ""
+        rest = u.split("://", 1)[1]
+        host = rest
+        for c in "/?#":
+            host = host.split(c)[0]
+        path = rest[len(host) :]
+        return host.translate({c: c + 32 for c in range(65, 91)}), path.split("?")[0].split("#")[0]
+
+    rules = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+    for i, u in enumerate(urls):
+        host, path = parts(u)
+        fit = [r for r in rules if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/") :])]
+        rule = max(fit, key=len, default=None)
+        assert (by[i].host, by[i].path, by[i].rule) == (host, path, rule), u
+        assert by[i].verdict == rules.get(rule, by[i].verdict) and by[i].verdict in ("allow", "block")
+        assert by[i].suffix == "clash" and by[i].length == 1.0
+    assert len(got) == len(urls) and filter_urls(df.limit(0)).count() == 0
+    assert filter_urls(df.where("page_id in (9, 10, 11)")).count() == 3  # nothing to learn from
+    plan = filter_urls(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_url_trees_learn(spark):
+    from tidemark.llm import url_filter as u
+
+    rng = random.Random(3)
+    urls = []
+    for i in range(600):
+        spam = i % 2
+        path = "/".join("".join(rng.choice("0123456789" if spam else "abcdef") for _ in range(6)) for _ in range(4 if spam else 2))
+        urls.append((i, f"http://h{i}.{'bad.' if i % 3 and spam else 'good.' if i % 3 else ''}org/{path}"))
+    got = u.filter_urls(spark.createDataFrame(urls, "page_id long, url string"), (("bad.org", "/", "block"), ("good.org", "/", "allow"))).collect()
+    free = [r for r in got if r.rule is None]
+    assert free and sum((r.verdict == "block") == bool(r.page_id % 2) for r in free) / len(free) > 0.95
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body><header><h2>Site</h2></header><nav><ul><li><a href="/x">menu {0}</a></li></ul></nav>
+<div class="cookie-notice">We use cookies</div><{1}><h1>Title {0} &amp; more</h1><p>First <b>bold</b>ly {0}.<br>Second&nbsp;line  of
+text<p>Unclosed &lt;tag&gt; text {0}</p><aside>see also</aside><form><input name="q"><p>search</p></form><div class="ad">buy</div><ul><li>one<li>two</ul></{1}><div id="comments"><p>reader says {0}</p></div><footer>&copy; end</footer>{2}"""
+
+
+def page(i, tag="article", tail="</body></html>"):
+    return PAGE.format(i, tag, tail)
+
+
+def expected_text(i):
+    return f"Title {i} & more First boldly {i}. Second line of text Unclosed <tag> text {i} one two"
+
+
+def test_html(spark):
+    from tidemark.llm.html_extract import extract_text, host_templates
+
+    rows = [(i, f"http://h{i % 2}.org/{i}", page(i)) for i in range(8)]
+    rows += [(20, "http://h0.org/t", page(20, tail="")), (21, "http://h0.org/n", None), (22, None, ""), (23, "odd", page(23)), (24, "http://one.org/", page(24, 'div class="story"').replace('</div class="story">', "</div>"))]
+    rows += [(30 + i, f"http://plain.org/{i}", page(30 + i, "section")) for i in range(4)] + [rows[0]]
+    df = spark.createDataFrame([(*r, "clash", 5) for r in rows], "page_id long, url string, html string, text string, n_chars int")
+    got = extract_text(df).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = "" if r.page_id in (21, 22) else expected_text(r.page_id)
+        assert r.text == want and r.n_chars == len(want), r.page_id
+    assert extract_text(df.limit(0)).count() == 0
+    t = host_templates(df.selectExpr("page_id", "html", "split_part(url, '/', 3) as host").where("host = 'plain.org'")).first()
+    assert t.main == "html/body/section" and len({v for v, _ in t.template}) == 1
+
+
+def test_html_odd_sources():
+    from tidemark.llm.html_extract import text_of
+
+    assert text_of("just text &amp &eacute;", None) == "just text & é"
+    assert text_of("<p>a<!-- b --><script>c</script>d<p>e", None) == "ad e"
+    assert text_of("a < b <3 </x> c", None) == "a < b <3 c"
+    assert text_of("<div>x</div>" * 3 + "<span class='ad'>no <b>no</b></span> y", None) == "x x x y"
+    assert text_of("<p>t</p><scr", None) == "t" and text_of("<p class='a>b'>t", None) == "t"
+
+
+def test_labels_fold_as_crc32(spark):
+    from tidemark.llm.queries import fold
+
+    ids = [0, 7, 123456789, -5]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    assert [r[0] for r in df.selectExpr(fold(5)).collect()] == [zlib.crc32(str(i).encode()) % 5 for i in ids]

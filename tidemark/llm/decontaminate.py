@@ -175,14 +175,8 @@ def _parts(benchmark: DataFrame) -> Iterator:
         yield benchmark.sparkSession.sparkContext.broadcast([tuple(r) for r in own.toLocalIterator()])
 
 
-def _checked(radius: int) -> None:
-    if radius // BLOCKS * BLOCKS + BLOCKS - 1 < radius:
-        raise ValueError("the radius is beyond what the blocks guarantee")
-
-
 def without_leaks(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that contain no item, unchanged; texts are not shuffled."""
-    _checked(radius)
     for part in _parts(benchmark):
         docs = docs.mapInArrow(_drop(part, k, percent, radius), docs.schema)
     return docs
@@ -190,7 +184,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, similarity, start, n_words, hamming): the best window of each leaked item."""
-    _checked(radius)
     slim = docs.select("doc_id", "text")
     out = "doc_id long, item_id long, similarity double, start int, n_words int, hamming int"
     return reduce(DataFrame.unionByName, [slim.mapInArrow(_scan(part, k, percent, radius), out) for part in _parts(benchmark)])

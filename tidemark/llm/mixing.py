@@ -61,7 +61,7 @@ def _to_sources(docs: DataFrame, sources: DataFrame, n_sources: int) -> DataFram
 def _ranked(docs: DataFrame, weight: Column, seed: int) -> DataFrame:
     """Adds _key, increasing with the Pareto rank and within 0 to 1, where a sample of the source is due."""
     u = (F.xxhash64("doc_id", F.lit(seed)).bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)
-    p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-12), F.col("_part") * weight))
+    p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-12), F.col("_part") * weight / F.col("_mean")))
     rank = u / (1 - u) / (p / (1 - p))
     flat = rank * F.col("_part") / (1 - F.col("_part"))
     return docs.withColumn("_key", F.when(F.col("_part") > 0, flat / (1 + flat)))
@@ -70,16 +70,17 @@ def _ranked(docs: DataFrame, weight: Column, seed: int) -> DataFrame:
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, most: int = MOST_COPIES, seed: int = SEED, inclusion: Column | None = None) -> DataFrame:
     """All columns of ``docs`` with size, source_size, target, copies and taken.
 
-    ``inclusion`` multiplies the inclusion probability of a document in its source's
-    sample; by default all documents of a source have the same. Columns of ``docs``
+    Inclusion probabilities in a source's sample are in proportion to ``inclusion``; by
+    default all documents of a source have the same. Columns of ``docs``
     with one of the added names are replaced.
     """
     docs = docs.drop("size", "source_size", "target", "copies", "taken")
     weight = F.lit(1.0) if inclusion is None else inclusion
     sized = docs.withColumn("size", size_of())
     slim = save(sized.select("doc_id", "source", "size", weight.alias("_weight")), "sizes")
-    sums = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
-    plan = targets(sums, weights, share, most).withColumn("_ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
+    sums = save(slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.try_divide(F.sum(F.col("size") * F.col("_weight")), F.sum("size")), F.lit(1.0)).alias("_mean")), "sources")
+    means = sums.select(F.col("source").alias("_s"), "_mean")
+    plan = targets(sums.drop("_mean"), weights, share, most).join(means, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("_ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     plan = save(plan.withColumn("_whole", F.floor("_ratio")).withColumn("_part", F.col("_ratio") - F.col("_whole")).drop("_ratio"), "targets")
     n_sources = plan.count()
 

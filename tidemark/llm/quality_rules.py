@@ -7,7 +7,9 @@ rejections above RISK, so few false rejections would have probability LEVEL / m
 at most, by the exact binomial tail; m counts all (stratum, rule) pairs. Testing
 stops at the first cutoff that fails, so the whole family of cutoffs of a rule
 costs one test. With probability 1 - LEVEL no certified rule rejects more than
-RISK of a stratum's good documents. A stratum with too few labels keeps all.
+RISK of a stratum's good documents. Of the certified cutoffs the one is taken
+that rejects most of the documents labelled bad, good ones weighing GOOD_COST
+times as much; of equals the middle one. A stratum with too few labels keeps all.
 
 Labels by majority of a doc_id's rows. A null language is a stratum. Null and
 empty texts have zero counts and fail the base rule for short texts. Repeated
@@ -25,8 +27,9 @@ from tidemark.llm.doc_stats import document_counts
 from tidemark.llm.quality_qda import majority
 from tidemark.llm.store import save
 
-RISK = 0.005
+RISK = 0.01
 LEVEL = 0.05
+GOOD_COST = 100.0
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Statistic as SQL over the counts; larger is worse. All lie between 0 and 1.
 RULES = {
@@ -61,19 +64,33 @@ def certify(above: list[int], n: int, level: float, risk: float = RISK) -> int |
     return found
 
 
-def cutoffs(good: DataFrame) -> dict[tuple[str | None, str], float]:
-    """Certified cutoffs by (stratum, rule) from rows of good documents with the statistics."""
+def choose(good: list[int], n_good: int, bad: list[int], n_bad: int, level: float) -> int | None:
+    """The certified step that separates best; None if none is certified or none rejects bad documents."""
+    strict = certify(good, n_good, level)
+    if strict is None or not n_bad:
+        return None
+    gain = {i: bad[i] / n_bad - GOOD_COST * good[i] / n_good for i in range(strict, len(good))}
+    best = max(gain.values())
+    if best <= 0:
+        return None
+    equal = [i for i, g in gain.items() if g >= best - 1e-12]
+    return equal[(len(equal) - 1) // 2]
+
+
+def cutoffs(rows: DataFrame) -> dict[tuple[str | None, str], float]:
+    """Certified cutoffs by (stratum, rule) from labelled rows with the statistics and y."""
     stack = ", ".join(f"'{r}', r_{r}" for r in RULES)
-    cells = good.selectExpr("stratum", f"stack({len(RULES)}, {stack}) as (rule, value)")
+    cells = rows.selectExpr("stratum", "y", f"stack({len(RULES)}, {stack}) as (rule, value)")
     # step s: the statistic exceeds i / STEPS for every i < s
-    cells = cells.groupBy("stratum", "rule", F.ceil(F.col("value") * STEPS).cast("int").alias("s")).count().collect()
+    cells = cells.groupBy("stratum", "rule", "y", F.ceil(F.col("value") * STEPS).cast("int").alias("s")).count().collect()
     by: dict = {}
-    for stratum, rule, s, c in cells:
-        by.setdefault((stratum, rule), {})[s] = c
+    for stratum, rule, y, s, c in cells:
+        by.setdefault((stratum, rule), ({}, {}))[y][s] = c
     chosen = {}
-    for key, counts in by.items():
-        above = [sum(c for s, c in counts.items() if s > i) for i in range(STEPS)]
-        step = certify(above, sum(counts.values()), LEVEL / len(by))
+    for key, sides in by.items():
+        bad, good = ([sum(c for s, c in counts.items() if s > i) for i in range(STEPS)] for counts in sides)
+        n_bad, n_good = (sum(counts.values()) for counts in sides)
+        step = choose(good, n_good, bad, n_bad, LEVEL / len(by)) if n_good else None
         if step is not None:
             chosen[key] = step / STEPS
     return chosen
@@ -83,7 +100,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", label
     """(doc_id, the base counts, base_failed, failed_rules, kept) for every row of ``docs``."""
     counts = document_counts(docs.select("doc_id", F.col(stratum).alias("stratum"), "text"))
     rows = save(counts.select("doc_id", "stratum", *BASE, *(F.expr(f"cast({e} as double)").alias(f"r_{r}") for r, e in RULES.items())), "rule-stats")
-    chosen = cutoffs(rows.join(majority(labels, label).where("y = 1"), "doc_id"))
+    chosen = cutoffs(rows.join(majority(labels, label), "doc_id"))
     failed = []
     for r in RULES:
         test = F.lit(False)
