@@ -337,15 +337,15 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
 
     def exchange(pairs: bool, reply) -> DataFrame:
         packed = slim.mapInArrow(_pack(buckets, pairs), _PACKED)
-        return save(packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(reply, _BACK), "replies")
+        return packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(reply, _BACK)
 
     def gathered(replies: DataFrame, known: bool) -> DataFrame:
         rows = replies.where("slice is not null").repartition(tasks, "slice").sortWithinPartitions("slice")
         return rows.mapInArrow(_gather(known), "doc_id long, mark long, held_out boolean, n_tokens long, n_known long, total double")
 
-    counted = exchange(False, _count(buckets, HEAVY, CELLS))
+    counted = save(exchange(False, _count(buckets, HEAVY, CELLS)), "replies")
     parent = Parent([(r[0], bytes(r[1])) for r in counted.where("model is not null").select("bucket", "model").collect()], buckets, CELLS)
-    base = save(gathered(counted, True), "base").dropDuplicates(["doc_id", "mark"])
+    base = gathered(counted, True).dropDuplicates(["doc_id", "mark"])
     scored = gathered(exchange(True, _score(spark.sparkContext.broadcast(parent))), False).select("doc_id", "mark", F.col("total").alias("score"))
     s, b = scored.alias("s"), base.alias("b")
     joined = s.join(b, F.col("s.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("s.mark") == F.col("b.mark")))
