@@ -311,6 +311,32 @@ def _across(k: int, percent: int):
     return run
 
 
+def _hopeful(percent: int):
+    """Documents of a family, or of two of its blocks, that profiles leave a link to another component."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        ids, comp, side, size = (table.column(c).to_numpy() for c in ("doc_id", "component", "side", "n_shingles"))
+        prof = np.frombuffer(b"".join(table.column("profile").to_pylist()), dtype=np.uint8).reshape(-1, PROFILE).astype(np.int16)
+        root = np.unique(comp, return_inverse=True)[1]
+        found = np.zeros(len(ids), dtype=bool)
+        for x in np.flatnonzero(root != np.bincount(root).argmax()):
+            y = np.flatnonzero((root != root[x]) & ((side == 2) | (side != side[x])) & (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x])))
+            near = y[(100 + percent) * np.abs(prof[y] - prof[x]).sum(axis=1, dtype=np.int64) <= (100 - percent) * (size[y] + size[x])]
+            if len(near):
+                found[near] = found[x] = True
+        return pa.table({"family": pa.array([key[0].as_py()] * int(found.sum()), pa.int64()), "doc_id": pa.array(ids[found], pa.int64())})
+
+    return run
+
+
+def _in_blocks(inside: DataFrame) -> DataFrame:
+    """Rows of families placed in pairs of blocks (x, y); side 2 stands for both, where x = y."""
+    blocks = inside.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = inside.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other"), "side": F.expr("if(block = other, 2, if(block < other, 0, 1))")})
+
+
 def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Those pairs (a, b) of document ids that are similar."""
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -325,23 +351,21 @@ def _open(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return pairs.join(c("a"), "a", "left").join(c("b"), "b", "left").where(own("a") != own("b")).select("a", "b")
 
 
-def _residual(members: DataFrame, comps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _residual(members: DataFrame, nodes: DataFrame, comps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links across components among the documents of large signatures.
 
     Signatures with one component only are done. The others are gathered in families, those
-    with the same largest component, so that a document is compared once for all of them.
+    with the same largest component, so that a document is compared once for all of them:
+    first by profiles, then, where these leave a link possible, exactly.
     """
     own = save(members.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "members")
     parts = own.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
     family = parts.groupBy("sig").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("family"), (F.count(F.lit(1)) > 1).alias("open")).where("open")
     inside = save(own.join(family, "sig").select("family", "doc_id", "component").distinct(), "families")
-    blocks = inside.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = inside.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).join(texts, "doc_id")
-    # block x meets every block y, itself included, as the pair (least, greatest); side 2 is both
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).selectExpr(
-        "family", "least(block, other) as x", "greatest(block, other) as y", "doc_id", "component", "text", "if(block = other, 2, if(block < other, 0, 1)) as side"
-    )
-    return save(met.groupBy("family", "x", "y").applyInArrow(_across(k, percent), "a long, b long").distinct(), "late")
+    profiles = nodes.select(F.col("rep").alias("doc_id"), "n_shingles", "profile")
+    hopeful = save(_in_blocks(inside).join(profiles, "doc_id").groupBy("family", "x", "y").applyInArrow(_hopeful(percent), "family long, doc_id long").distinct(), "hopeful")
+    placed = _in_blocks(inside.join(hopeful, ["family", "doc_id"])).join(texts, "doc_id").select("family", "x", "y", "side", "doc_id", "component", "text")
+    return save(placed.groupBy("family", "x", "y").applyInArrow(_across(k, percent), "a long, b long").distinct(), "late")
 
 
 def similar_groups(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -361,11 +385,17 @@ def similar_groups(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> D
     packed = slim.where("doc_id is not null").mapInArrow(_packed(k, percent, buckets), "bucket int, sigs binary, nodes binary")
     met = save(packed.repartition(tasks, "bucket").mapInArrow(_meet, "sig long, a long, b long, shared long"), "met")
 
-    def rep(x: str) -> DataFrame:
-        return nodes.select(F.col("low").alias(x), F.col("rep").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}"), F.col("profile").alias(f"p{x}"))
+    def of(x: str, *columns: str) -> DataFrame:
+        return nodes.select(F.col("low").alias(x), *(F.col(c).alias(f"{c[0]}{x}") for c in columns))
+
+    pairs = met.where("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared")).join(of("a", "rep", "n_shingles"), "a").join(of("b", "rep", "n_shingles"), "b")
+    pairs = pairs.where(f"ra <> rb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").selectExpr("least(ra, rb) as a", "greatest(ra, rb) as b", "if(ra < rb, na, nb) as na", "if(ra < rb, nb, na) as nb", "shared")
+    pairs = save(pairs, "sized")
+
+    def profiled(x: str) -> DataFrame:
+        return nodes.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("profile").alias(f"p{x}"))
 
-    pairs = met.where("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared")).join(rep("a"), "a").join(rep("b"), "b")
-    pairs = pairs.where(f"ra <> rb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").selectExpr("least(ra, rb) as a", "greatest(ra, rb) as b", "shared", "na", "nb", "pa", "pb")
+    pairs = pairs.join(profiled("a"), ["a", "na"]).join(profiled("b"), ["b", "nb"]).select("a", "b", "na", "nb", "pa", "pb", "shared")
     pairs = save(pairs.mapInArrow(_possible(percent), "a long, b long, shared long"), "pairs")
     members = save(met.where("b is null").select("sig", F.col("a").alias("low")).join(nodes.select("low", F.col("rep").alias("doc_id"), "n_shingles"), "low").drop("low"), "members")
     known = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(members.select("doc_id")).distinct()
@@ -380,7 +410,7 @@ def similar_groups(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> D
     if not rest.isEmpty():
         comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest))
     if not members.isEmpty():
-        late = _residual(members, comps, texts, k, percent)
+        late = _residual(members, nodes, comps, texts, k, percent)
         links = links.unionByName(late)
         if not late.isEmpty():
             comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
