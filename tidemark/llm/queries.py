@@ -42,6 +42,19 @@ def fold(n: int) -> str:
     return f"crc32(cast(cast(doc_id as string) as binary)) % {n}"
 
 
+OP2_SQL = r"""
+with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),
+win as (select doc_id, p, array_to_string(w[p:p + 49], ' ') as k from (select doc_id, w, unnest(range(1, len(w) - 48)) as p from d where len(w) >= 50)),
+first as (select k, min(doc_id) as lo from win group by k),
+hit as (select distinct doc_id, p + o as i from win join first using (k) cross join range(50) t(o) where lo < doc_id),
+u as (select doc_id, unnest(w) as x, generate_subscripts(w, 1) as i from d),
+kept as (select doc_id, string_agg(x, ' ' order by i) as s from u anti join hit using (doc_id, i) group by doc_id),
+gone as (select doc_id, count(*) as n from hit group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(s, '')) as kept_sha256
+from d left join gone using (doc_id) left join kept using (doc_id)
+"""
+
+
 def op3_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     scored = quality_qda.score_quality(docs, labels, F.expr(f"{fold(5)} <> 0"))
@@ -54,7 +67,22 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_jaccard.similar_groups(_table(spark, sf_dir, "documents"))
+    return ngram_jaccard.similar_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+OP5_SQL = r"""
+with recursive d as (
+  select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) as w from documents),
+sh as (
+  select distinct doc_id, array_to_string(w[p:p + 4], ' ') as s from (select doc_id, w, unnest(range(1, len(w) - 3)) as p from d where len(w) >= 5)
+  union all select doc_id, array_to_string(w, ' ') from d where len(w) between 1 and 4),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as c from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by all),
+link as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+sides as (select a, b from link union all select b, a from link),
+reach as (select doc_id as x, doc_id as y from d union select r.x, s.b from reach r join sides s on s.a = r.y)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, (select min(y) from reach where x = d.doc_id) as component_id from d left join n using (doc_id)
+"""
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,4 +149,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extract": op10_html_extract,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_chat_format": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2_SQL, "op5_ngram_jaccard": OP5_SQL, "op6_chat_format": OP6_SQL}
