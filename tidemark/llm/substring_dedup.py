@@ -142,7 +142,8 @@ def repeated_spans(docs: DataFrame, k: int = WORDS, m: int = ANCHOR_WORDS) -> Da
     # branching ones are opened into single edges
     opened = seen.where("not whole").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("opened"))
     edges = save(slim.join(opened, "doc_id").mapInArrow(_edges(k), "doc_id long, start int, anchor long, edge long"), "edges")
-    first = edges.groupBy("anchor", "edge").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor", "edge", "lo")
+    # written, so that the join below has a plain exchange on either side and its hot edges can be split
+    first = save(edges.groupBy("anchor", "edge").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor", "edge", "lo"), "first")
     single = edges.join(first, ["anchor", "edge"]).where("lo < doc_id").select("doc_id", "start", F.lit(1).alias("n"))
     return seen.where("whole").select("doc_id", "start", "n").unionByName(single)
 
