@@ -6,17 +6,19 @@ above a uniform base over the open vocabulary. In a context, the tables of a dis
 are seated by Gibbs sampling: each sweep seats the customers of every dish again,
 given the tables of the others and the parent's probability of the dish. Past a
 dish's first customers they are seated in blocks of a tenth of those seated, with
-the probabilities at the block's start. Predictive probabilities are averaged
-over the sweeps behind the first ones.
+the probabilities at the block's start. The tables of all contexts are the
+parent's customers: it starts with the tokens themselves, and after each of
+PARENT_SWEEPS passes over the contexts takes the tables seated there, on average.
+Predictive probabilities are averaged over the last pass's sweeps but the first.
 
-Two exchanges, both linear in the text and independent of any vocabulary size:
+The exchanges are linear in the text and independent of any vocabulary size:
 words with their documents go to buckets of words, where counts over all
-training documents are exact, and occurrences go to buckets of contexts. Rows
-are packed, one to a slice of documents and bucket, so that a common word is a
-run inside many rows rather than a hot key; what comes back is a sum for each
-document and bucket. The parent reaches the contexts as a table of fixed size:
-exact counts of the most frequent words, HEAVY at most, and sums over CELLS hash
-cells for all others.
+training documents are exact, and occurrences go to buckets of contexts, once to
+seat them and once to score. Rows are packed, one to a slice of documents and
+bucket, so that a common word is a run inside many rows rather than a hot key;
+what comes back is a sum for each document and bucket. The parent reaches the
+contexts as a table of fixed size: exact numbers for the most frequent words,
+HEAVY at most, and sums over CELLS hash cells for all others.
 
 Null texts count as empty: one end token. A null doc_id is scored and, unless
 ``held`` is true, trained on. Each repeated row counts in training and is scored.
@@ -34,13 +36,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
-from tidemark.llm.store import save
+from tidemark.llm.store import discard, save
 
 #: Discount and strength of contexts; strength of the parent, whose discount is estimated.
 DISCOUNT, STRENGTH, PARENT_STRENGTH = 0.8, 2.0, 1.0
 BURN_IN, SWEEPS = 2, 4
+PARENT_SWEEPS = 1
+#: Parts of the parent's table that are summed apart.
+RANGES = 64
 HEAVY, CELLS = 1 << 16, 1 << 20
 SEED = 7
+#: Bounds of a slice: documents (their numbers take two bytes), and bytes of text.
+ROWS, SLICE_BYTES = 2048, 2 << 20
 SINGLE = 24
 _U = np.uint64
 _END, _BEGIN = (tx.mix(np.array([n], dtype=_U), 81)[0] for n in (1, 2))
@@ -69,14 +76,14 @@ _PACKED = "bucket int, slice long, held binary, ids binary, sizes binary, marks
 
 
 def _slices(batches: Iterator[pa.RecordBatch]):
-    """(slice, ids, held, digests, words) of slices of at most 65,536 documents."""
+    """(slice, ids, held, digests, words) of slices of documents."""
     task, n = TaskContext.get(), 0
     base = (task.partitionId() if task else 0) << 32
     for batch in batches:
-        texts, ids, held = tx.texts_in(batch), tx.column(batch, "doc_id"), np.array(tx.column(batch, "held"), dtype=bool)
-        for i, j in tx.slices(texts):
-            for a in range(i, j, 1 << 16):
-                b = min(j, a + (1 << 16))
+        for k in range(0, batch.num_rows, ROWS):
+            part = batch.slice(k, ROWS)
+            texts, ids, held = tx.texts_in(part), tx.column(part, "doc_id"), np.array(tx.column(part, "held"), dtype=bool)
+            for a, b in tx.slices(texts, SLICE_BYTES):
                 marks = [hashlib.blake2b(t, digest_size=8).digest() for t in texts[a:b]]
                 yield base + n, ids[a:b], held[a:b], b"".join(marks), tx.words_of(texts[a:b], lower=True)
                 n += 1
@@ -135,15 +142,21 @@ def _pack(buckets: int, pairs: bool):
 _BACK = "slice long, ids binary, sizes binary, marks binary, held binary, docs binary, sums binary, known binary, model binary, bucket int"
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of large values, without a second copy of a whole batch."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
     """Rows of each bucket of a partition that is sorted by bucket."""
     rows: list[dict] = []
-    for batch in batches:
-        for r in batch.to_pylist():
-            if rows and rows[0]["bucket"] != r["bucket"]:
-                yield rows
-                rows = []
-            rows.append(r)
+    for r in _one_by_one(batches):
+        if rows and rows[0]["bucket"] != r["bucket"]:
+            yield rows
+            rows = []
+        rows.append(r)
     if rows:
         yield rows
 
@@ -223,18 +236,32 @@ class Parent:
         word, count = (np.concatenate(x) if x else np.zeros(0) for x in (words, counts))
         order = np.argsort(word, kind="stable")
         self.words, self.counts = word[order].astype(_U), count[order]
+        self.customers = float(self.tokens)
+
+    def place(self, word: np.ndarray) -> np.ndarray:
+        """Of dishes: their cell, or behind the cells their number among the frequent ones."""
+        out = (word >> _U(48 - (self.cells.bit_length() - 1))).astype(np.int64)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
+            out = np.where(self.words[at] == word, self.cells + at, out)
+        return out
+
+    def take(self, customers: np.ndarray) -> None:
+        """Put tables of the contexts, by place, in the customers' stead."""
+        self.mass, self.counts = customers[: self.cells].astype(np.float32), customers[self.cells :]
+        self.customers = float(customers.sum())
 
     def probability(self, word: np.ndarray) -> np.ndarray:
         """Of dishes given by the upper 48 of their 56 bits."""
-        total = PARENT_STRENGTH + self.tokens
+        total = PARENT_STRENGTH + self.customers
         base = (PARENT_STRENGTH + self.discount * self.vocabulary) / total / (self.vocabulary + 1)
         cell = (word >> _U(48 - (self.cells.bit_length() - 1))).astype(np.int64)
         kinds = self.kinds[cell].astype(np.float64)
         # a cell cannot tell its words from one that was never seen
-        share = (self.mass[cell] - self.discount * kinds) / (kinds + 1)
+        share = np.maximum(self.mass[cell] - self.discount * kinds, 0) / (kinds + 1)
         if len(self.words):
             at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
-            share = np.where(self.words[at] == word, self.counts[at] - self.discount, share)
+            share = np.where(self.words[at] == word, np.maximum(self.counts[at] - self.discount, 0), share)
         return share / total + base
 
 
@@ -256,45 +283,103 @@ def seat(c: np.ndarray, tables_there: np.ndarray, p0: np.ndarray, rng: np.random
     return t
 
 
-def predictive(c: np.ndarray, context: np.ndarray, p0: np.ndarray, seed: int) -> np.ndarray:
-    """Probability of each (context, dish) cell, averaged over Gibbs sweeps."""
+def sweeps(c: np.ndarray, context: np.ndarray, p0: np.ndarray, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tables of each (context, dish) cell and of each context after Gibbs sweeps, the first BURN_IN left out."""
     rng = np.random.default_rng([SEED, seed])
     n = int(context[-1]) + 1 if len(context) else 0
-    customers = np.bincount(context, weights=c, minlength=n)
     t = (c > 0).astype(np.float64)
     total = np.bincount(context, weights=t, minlength=n)
-    out = np.zeros(len(c))
     for sweep in range(BURN_IN + SWEEPS):
         t = seat(c, total[context] - t, p0, rng)
         total = np.bincount(context, weights=t, minlength=n)
         if sweep >= BURN_IN:
-            out += (np.maximum(c - DISCOUNT * t, 0) + (STRENGTH + DISCOUNT * total[context]) * p0) / (STRENGTH + customers[context])
+            yield t, total
+
+
+def predictive(c: np.ndarray, context: np.ndarray, p0: np.ndarray, seed: int) -> np.ndarray:
+    """Probability of each (context, dish) cell, averaged over Gibbs sweeps."""
+    customers = np.bincount(context, weights=c)
+    out = np.zeros(len(c))
+    for t, total in sweeps(c, context, p0, seed):
+        out += (np.maximum(c - DISCOUNT * t, 0) + (STRENGTH + DISCOUNT * total[context]) * p0) / (STRENGTH + customers[context])
     return out / SWEEPS
 
 
+class _Contexts:
+    """Occurrences of one bucket of contexts and their (context, dish) cells."""
+
+    def __init__(self, rows: list[dict]):
+        docs = [np.frombuffer(r["docs"], dtype="<u2").astype(np.int64) for r in rows]
+        self.doc, self.lengths = np.concatenate(docs), [len(d) for d in docs]
+        learn = np.concatenate([~_held(r)[d] for r, d in zip(rows, docs, strict=True)])
+        context = np.concatenate([np.repeat(_numbers(r["words"], 7), np.frombuffer(r["runs"], dtype="<u4")) for r in rows])
+        word = np.concatenate([_numbers(r["counts"], 6) for r in rows])
+        order = np.lexsort((word, context))
+        context, word = context[order], word[order]
+        first = _runs(context, word)
+        self.cell = np.empty(len(order), dtype=np.int64)
+        self.cell[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+        self.customers = np.bincount(self.cell, weights=learn, minlength=len(first)).astype(np.int64)
+        own = context[first]
+        self.context = np.zeros(len(first), dtype=np.int64)
+        self.context[1:] = np.cumsum(own[1:] != own[:-1])
+        self.dish = word[first]
+
+
 def _score(parent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches):
+            x = _Contexts(rows)
+            p = predictive(x.customers, x.context, parent.value.probability(x.dish), rows[0]["bucket"])
+            yield _batch(_replies(rows, x.lengths, x.doc, np.log10(p)[x.cell], None))
+
+    return run
+
+
+def _seat_all(parent, buckets: int):
+    """Tables by place in the parent, sparse, a row to a bucket of contexts and range of places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root: Parent = parent.value
+        size = -(-(root.cells + len(root.words)) // RANGES)
         for rows in _grouped(batches):
-            docs = [np.frombuffer(r["docs"], dtype="<u2").astype(np.int64) for r in rows]
-            doc, lengths = np.concatenate(docs), [len(d) for d in docs]
-            learn = np.concatenate([~_held(r)[d] for r, d in zip(rows, docs, strict=True)])
-            context = np.concatenate([np.repeat(_numbers(r["words"], 7), np.frombuffer(r["runs"], dtype="<u4")) for r in rows])
-            word = np.concatenate([_numbers(r["counts"], 6) for r in rows])
-            order = np.lexsort((word, context))
-            first = _runs(context[order], word[order])
-            cell = np.empty(len(order), dtype=np.int64)
-            cell[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
-            c = np.bincount(cell, weights=learn, minlength=len(first)).astype(np.int64)
-            own = context[order][first]
-            at = np.zeros(len(first), dtype=np.int64)
-            at[1:] = np.cumsum(own[1:] != own[:-1])
-            p = predictive(c, at, root.probability(word[order][first]), rows[0]["bucket"])
-            yield _batch(_replies(rows, lengths, doc, np.log10(p)[cell], None))
+            x = _Contexts(rows)
+            tables = np.zeros(len(x.dish))
+            for t, _ in sweeps(x.customers, x.context, root.probability(x.dish), rows[0]["bucket"] + buckets):
+                tables += t
+            place, of = np.unique(root.place(x.dish), return_inverse=True)
+            total = np.bincount(of, weights=tables / SWEEPS, minlength=len(place))
+            cut = np.searchsorted(place, np.arange(RANGES + 1) * size)
+            parts = [(r, rows[0]["bucket"], place[a:b].astype("<u4").tobytes(), total[a:b].astype("<f4").tobytes()) for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+            yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in parts], t) for c, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["range", "bucket", "places", "tables"])
 
     return run
 
 
+def _sum_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tables by place summed over buckets, one row to a range; partitions are sorted by range and bucket."""
+
+    def emit(number: int, place: list[np.ndarray], tables: list[np.ndarray]) -> pa.RecordBatch:
+        at, of = np.unique(np.concatenate(place), return_inverse=True)
+        total = np.bincount(of, weights=np.concatenate(tables), minlength=len(at))
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([at.astype("<u4").tobytes()], pa.binary()), pa.array([total.astype("<f8").tobytes()], pa.binary())], names=["range", "places", "tables"])
+
+    now, place, tables, held = None, [], [], 0
+    for r in _one_by_one(batches):
+        if now is not None and r["range"] != now:
+            yield emit(now, place, tables)
+            place, tables, held = [], [], 0
+        now = r["range"]
+        place.append(np.frombuffer(r["places"], dtype="<u4"))
+        tables.append(np.frombuffer(r["tables"], dtype="<f4").astype(np.float64))
+        held += len(place[-1])
+        if held > 1_000_000:  # summed as it grows: no more than one table of the range stays
+            one = emit(now, place, tables).to_pylist()[0]
+            place, tables = [np.frombuffer(one["places"], dtype="<u4")], [np.frombuffer(one["tables"], dtype="<f8")]
+            held = len(place[0])
+    if now is not None:
+        yield emit(now, place, tables)
+
+
 def _gather(known: bool):
     """Sums over buckets for each document of a slice; partitions are sorted by slice."""
 
@@ -312,12 +397,11 @@ def _gather(known: bool):
             return pa.RecordBatch.from_arrays(cols, names=["doc_id", "mark", "held_out", "n_tokens", "n_known", "total"])
 
         rows: list[dict] = []
-        for batch in batches:
-            for r in batch.to_pylist():
-                if rows and rows[0]["slice"] != r["slice"]:
-                    yield emit(rows)
-                    rows = []
-                rows.append(r)
+        for r in _one_by_one(batches):
+            if rows and rows[0]["slice"] != r["slice"]:
+                yield emit(rows)
+                rows = []
+            rows.append(r)
         if rows:
             yield emit(rows)
 
@@ -332,12 +416,12 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     """
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 1 << min(13, max(6, (2 * tasks - 1).bit_length()))
+    buckets = 1 << min(14, max(6, (4 * tasks - 1).bit_length()))
     slim = docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held"))
 
-    def exchange(pairs: bool, reply) -> DataFrame:
+    def exchange(pairs: bool, reply, schema: str = _BACK) -> DataFrame:
         packed = slim.mapInArrow(_pack(buckets, pairs), _PACKED)
-        return packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(reply, _BACK)
+        return packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(reply, schema)
 
     def gathered(replies: DataFrame, known: bool) -> DataFrame:
         rows = replies.where("slice is not null").repartition(tasks, "slice").sortWithinPartitions("slice")
@@ -345,6 +429,14 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
 
     counted = save(exchange(False, _count(buckets, HEAVY, CELLS)), "replies")
     parent = Parent([(r[0], bytes(r[1])) for r in counted.where("model is not null").select("bucket", "model").collect()], buckets, CELLS)
+    for _ in range(PARENT_SWEEPS):
+        seated = save(exchange(True, _seat_all(spark.sparkContext.broadcast(parent), buckets), "range int, bucket int, places binary, tables binary"), "tables")
+        rows = seated.repartition(min(tasks, RANGES), "range").sortWithinPartitions("range", "bucket").mapInArrow(_sum_tables, "range int, places binary, tables binary").collect()  # at most RANGES
+        customers = np.zeros(parent.cells + len(parent.words))
+        for r in rows:
+            customers[np.frombuffer(bytes(r.places), dtype="<u4")] = np.frombuffer(bytes(r.tables), dtype="<f8")
+        parent.take(customers)
+        discard(seated)
     base = gathered(counted, True).dropDuplicates(["doc_id", "mark"])
     scored = gathered(exchange(True, _score(spark.sparkContext.broadcast(parent))), False).select("doc_id", "mark", F.col("total").alias("score"))
     s, b = scored.alias("s"), base.alias("b")

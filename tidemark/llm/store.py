@@ -40,4 +40,13 @@ def save(df: DataFrame, tag: str) -> DataFrame:
             spark.conf.unset(cleanup)
         else:
             spark.conf.set(cleanup, before)
-    return spark.read.schema(df.schema).parquet(path)
+    saved = spark.read.schema(df.schema).parquet(path)
+    saved.written_to = path
+    return saved
+
+
+def discard(saved: DataFrame) -> None:
+    """Delete the table behind what ``save`` returned; nothing may read it any more."""
+    spark = saved.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(saved.written_to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
