@@ -131,7 +131,7 @@ def test_substring_dedup(docs, empty, k):
 
 
 def test_substring_dedup_over_branching_and_periodic_texts(spark):
-    from tidemark.llm.substring_dedup import remove_repeats
+    from tidemark.llm.substring_dedup import remove_repeats, repeated_spans, verify_spans
 
     rng = random.Random(11)
     base = sentence(rng, 200).split()
@@ -146,6 +146,9 @@ def test_substring_dedup_over_branching_and_periodic_texts(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeats(df, 30).collect()), key=str)
     assert got == brute_repeats(rows, 30)
+    spans = repeated_spans(df, 30)
+    checked = verify_spans(df, spans, 30).collect()
+    assert len(checked) == spans.count() > 0 and all(r.equal and r.source < r.doc_id for r in checked)
 
 
 def features(t):

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, or one made for a local session."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.tidemark.scratch", None)
+    if not root and (held := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
+        root = held.get()  # set on the context alone
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

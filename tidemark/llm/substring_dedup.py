@@ -12,7 +12,8 @@ is stored once, with the hash of its whole word sequence.
   has several, the graph branches there: only the holders' paths are opened
   into single edges, and these are compared by (anchor, edge).
 * The coordinates (document, first word, number of edges) of every path and
-  edge that also starts in a smaller document are the repeated spans.
+  edge that also starts in a smaller document are the repeated spans. With them
+  go the coordinates of the source, by which ``verify_spans`` compares words.
 
 Both keys are pairs of independent 64-bit hashes. Work and rows are linear in
 the text; groups of copies meet only in aggregates that combine before the
@@ -127,7 +128,10 @@ def _cut(k: int, with_text: bool):
 
 
 def repeated_spans(docs: DataFrame, k: int = WORDS, m: int = ANCHOR_WORDS) -> DataFrame:
-    """(doc_id, start, n): n windows from word ``start`` on that also start in a smaller document."""
+    """(doc_id, start, n, source, source_start): n windows from word ``start`` on that also start in a smaller document.
+
+    ``source`` is the smallest such document; if it has them in several places, any is given.
+    """
     if not 0 < m <= k:
         raise ValueError("the anchor must be no longer than the window")
     slim = docs.select("doc_id", "text").where("doc_id is not null")
@@ -135,17 +139,35 @@ def repeated_spans(docs: DataFrame, k: int = WORDS, m: int = ANCHOR_WORDS) -> Da
     shared = paths.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
     met = save(paths.join(shared, "anchor"), "paths")
     # nonbranching paths compact into one holder each
-    compact = met.groupBy("anchor", "content").agg(F.min("doc_id").alias("holder"))
+    compact = met.groupBy("anchor", "content").agg(F.min("doc_id").alias("holder"), F.min_by("start", "doc_id").alias("source_start"))
     branch = compact.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("branches"))
     held = compact.join(branch, "anchor")
-    seen = save(met.join(held, ["anchor", "content"]).where("holder < doc_id or branches and holder = doc_id").select("doc_id", "start", "n", "anchor", (F.col("holder") < F.col("doc_id")).alias("whole")), "compacted")
+    seen = save(met.join(held, ["anchor", "content"]).where("holder < doc_id or branches and holder = doc_id").select("doc_id", "start", "n", "anchor", "holder", "source_start", (F.col("holder") < F.col("doc_id")).alias("whole")), "compacted")
     # branching ones are opened into single edges
     opened = seen.where("not whole").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("opened"))
     edges = save(slim.join(opened, "doc_id").mapInArrow(_edges(k), "doc_id long, start int, anchor long, edge long"), "edges")
     # written, so that the join below has a plain exchange on either side and its hot edges can be split
-    first = save(edges.groupBy("anchor", "edge").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor", "edge", "lo"), "first")
-    single = edges.join(first, ["anchor", "edge"]).where("lo < doc_id").select("doc_id", "start", F.lit(1).alias("n"))
-    return seen.where("whole").select("doc_id", "start", "n").unionByName(single)
+    first = save(edges.groupBy("anchor", "edge").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min_by("start", "doc_id").alias("source_start")).where("lo < hi").select("anchor", "edge", "lo", "source_start"), "first")
+    single = edges.join(first, ["anchor", "edge"]).where("lo < doc_id").select("doc_id", "start", F.lit(1).alias("n"), F.col("lo").alias("source"), "source_start")
+    return seen.where("whole").select("doc_id", "start", "n", F.col("holder").alias("source"), "source_start").unionByName(single)
+
+
+def verify_spans(docs: DataFrame, spans: DataFrame, k: int = WORDS) -> DataFrame:
+    """``spans`` with ``equal``: whether the words at both coordinates are the same.
+
+    An exact check beside the 128-bit keys, at the price of joining both texts.
+    """
+    text = docs.where("doc_id is not null").groupBy("doc_id").agg(F.max("text").alias("text"))
+    both = spans.join(text, "doc_id").join(text.select(F.col("doc_id").alias("source"), F.col("text").alias("source_text")), "source")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [tx.column(batch, c) for c in ("start", "n", "source_start")]
+            equal = [a.split()[s : s + n + k - 1] == b.split()[t : t + n + k - 1] for a, b, s, n, t in zip(tx.texts_in(batch), tx.texts_in(batch, "source_text"), *cols, strict=True)]
+            names = ["doc_id", "start", "n", "source", "source_start"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(equal, pa.bool_())], names=[*names, "equal"])
+
+    return both.mapInArrow(run, "doc_id long, start int, n int, source long, source_start int, equal boolean")
 
 
 def remove_repeats(docs: DataFrame, k: int = WORDS, with_text: bool = False) -> DataFrame:
