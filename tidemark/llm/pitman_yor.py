@@ -429,15 +429,16 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
 
     counted = save(exchange(False, _count(buckets, HEAVY, CELLS)), "replies")
     parent = Parent([(r[0], bytes(r[1])) for r in counted.where("model is not null").select("bucket", "model").collect()], buckets, CELLS)
+    base = save(gathered(counted, True).dropDuplicates(["doc_id", "mark"]), "base")
+    discard(counted)
     for _ in range(PARENT_SWEEPS):
         seated = save(exchange(True, _seat_all(spark.sparkContext.broadcast(parent), buckets), "range int, bucket int, places binary, tables binary"), "tables")
-        rows = seated.repartition(min(tasks, RANGES), "range").sortWithinPartitions("range", "bucket").mapInArrow(_sum_tables, "range int, places binary, tables binary").collect()  # at most RANGES
+        sums = save(seated.repartition(min(tasks, RANGES), "range").sortWithinPartitions("range", "bucket").mapInArrow(_sum_tables, "range int, places binary, tables binary"), "parent")
+        discard(seated)
         customers = np.zeros(parent.cells + len(parent.words))
-        for r in rows:
+        for r in sums.collect():  # at most RANGES
             customers[np.frombuffer(bytes(r.places), dtype="<u4")] = np.frombuffer(bytes(r.tables), dtype="<f8")
         parent.take(customers)
-        discard(seated)
-    base = gathered(counted, True).dropDuplicates(["doc_id", "mark"])
     scored = gathered(exchange(True, _score(spark.sparkContext.broadcast(parent))), False).select("doc_id", "mark", F.col("total").alias("score"))
     s, b = scored.alias("s"), base.alias("b")
     joined = s.join(b, F.col("s.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("s.mark") == F.col("b.mark")))
