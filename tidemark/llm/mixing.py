@@ -41,7 +41,7 @@ def size_of(text: str = "text") -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, most: int = MOST_COPIES) -> DataFrame:
-    """(source, source_size, n_docs, target) from one row (source, source_size, n_docs) for each source."""
+    """One row (source, source_size, ...) for each source, with ``target``."""
     order = Window.orderBy(F.col("source").asc_nulls_last())
     ranked = sizes.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), (F.row_number().over(order) - 1) % len(weights) + 1)).withColumn("cap", F.col("source_size") * float(most))
     by_cap = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
@@ -49,7 +49,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     level = (F.sum("source_size").over(every) * share - F.coalesce(F.sum("cap").over(by_cap.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))) / F.sum("w").over(by_cap.rowsBetween(0, Window.unboundedFollowing))
     # the level left for the rest rises while sources are capped, and falls behind the first that is not
     leveled = ranked.withColumn("level", level).withColumn("final", F.max("level").over(every))
-    return leveled.select("source", "source_size", "n_docs", F.least("cap", F.col("final") * F.col("w")).alias("target"))
+    return leveled.select(*sizes.columns, F.least("cap", F.col("final") * F.col("w")).alias("target"))
 
 
 def _to_sources(docs: DataFrame, sources: DataFrame, n_sources: int) -> DataFrame:
@@ -78,9 +78,9 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
     weight = F.lit(1.0) if inclusion is None else inclusion
     sized = docs.withColumn("size", size_of())
     slim = save(sized.select("doc_id", "source", "size", weight.alias("_weight")), "sizes")
-    sums = save(slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.try_divide(F.sum(F.col("size") * F.col("_weight")), F.sum("size")), F.lit(1.0)).alias("_mean")), "sources")
-    means = sums.select(F.col("source").alias("_s"), "_mean")
-    plan = targets(sums.drop("_mean"), weights, share, most).join(means, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("_ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
+    mean = F.coalesce(F.try_divide(F.sum(F.col("size") * F.col("_weight")), F.sum("size")), F.lit(1.0))
+    sums = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"), mean.alias("_mean"))
+    plan = targets(sums, weights, share, most).withColumn("_ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     plan = save(plan.withColumn("_whole", F.floor("_ratio")).withColumn("_part", F.col("_ratio") - F.col("_whole")).drop("_ratio"), "targets")
     n_sources = plan.count()
 
