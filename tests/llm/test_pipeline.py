@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from test_operators import brute_components, brute_repeats, junk, sentence
+from test_llm_operators import brute_components, brute_repeats, junk, sentence
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
