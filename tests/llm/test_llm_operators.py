@@ -432,6 +432,25 @@ def test_pitman_yor_learns_pairs_and_sums_to_one(spark):
     assert many[0] == 1 and 1 <= many[1] <= 2 and 1 < many[2] < 100_000
 
 
+def test_pitman_yor_counts_every_word(spark):
+    from tidemark.llm import pitman_yor as p
+
+    words = [f"x{i}" for i in range(80_000)]  # each once, but for some that make the discount
+    rows = [(i, " ".join(words[k : k + 800])) for i, k in enumerate(range(0, len(words), 800))] + [(100, " ".join(f"y{i} z y{i}" for i in range(20)))]
+    asked = random.Random(5).sample([w for i, w in enumerate(words) if i % 800 not in (0, 799)], 3000)
+    rows += [(1000 + i, f"new{i} {w}") for i, w in enumerate(asked)] + [(9000, "new unseen")]
+    got = p.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), F.expr("doc_id >= 1000")).where("held_out").collect()
+    unseen = next(r.score for r in got if r.doc_id == 9000)
+    known = [r.score for r in got if r.doc_id < 9000]
+    assert len(known) == len(asked) and max(known) - min(known) < 1e-4  # the same count, the same score
+    # behind a new word the parent decides; the end follows a context of one customer
+    ratio = 10 ** (known[0] - unseen) * (p.STRENGTH + 1) / (p.STRENGTH + p.DISCOUNT)
+    once, twice, kinds = 80_000, 20, 80_022
+    d = min(0.95, once / (once + 2 * twice))
+    low_, high = (1 + (1 - d) * (kinds + 1) / (1 + d * t) for t in (kinds + 200, kinds))
+    assert low_ - 1e-4 < ratio < high + 1e-4
+
+
 def test_url_filter(spark):
     from tidemark.llm.url_filter import filter_urls
 

@@ -11,14 +11,15 @@ parent's customers: it starts with the tokens themselves, and after each of
 PARENT_SWEEPS passes over the contexts takes the tables seated there, on average.
 Predictive probabilities are averaged over the last pass's sweeps but the first.
 
-The exchanges are linear in the text and independent of any vocabulary size:
-words with their documents go to buckets of words, where counts over all
-training documents are exact, and occurrences go to buckets of contexts, once to
-seat them and once to score. Rows are packed, one to a slice of documents and
-bucket, so that a common word is a run inside many rows rather than a hot key;
-what comes back is a sum for each document and bucket. The parent reaches the
-contexts as a table of fixed size: exact numbers for the most frequent words,
-HEAVY at most, and sums over CELLS hash cells for all others.
+The exchanges are linear in the text and gather exact numbers for every word:
+occurrences go to buckets of contexts, once to count, once to seat and once to
+score them. Rows are packed, one to a slice of documents and bucket, so that a
+common word is a run inside many rows rather than a hot key. A bucket of contexts
+asks for each of its dishes once, by range of words, with its counts or tables;
+ranges sum them over all buckets to the parent, and answer each request with the
+exact number of training tokens and the parent's share of every dish. Only sums
+over the whole parent reach the driver. What scoring gives back is a sum for each
+document and bucket.
 
 Null texts count as empty: one end token. A null doc_id is scored and, unless
 ``held`` is true, trained on. Each repeated row counts in training and is scored.
@@ -26,8 +27,8 @@ Null texts count as empty: one end token. A null doc_id is scored and, unless
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,8 @@ from tidemark.llm.store import discard, save
 DISCOUNT, STRENGTH, PARENT_STRENGTH = 0.8, 2.0, 1.0
 BURN_IN, SWEEPS = 2, 4
 PARENT_SWEEPS = 1
-#: Parts of the parent's table that are summed apart.
-RANGES = 64
-HEAVY, CELLS = 1 << 16, 1 << 20
+#: Ranges of words at most; requests and answers are rows by bucket of contexts and range.
+RANGES = 1 << 12
 SEED = 7
 #: Bounds of a slice: documents (their numbers take two bytes), and bytes of text.
 ROWS, SLICE_BYTES = 2048, 2 << 20
@@ -72,11 +72,15 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-_PACKED = "bucket int, slice long, held binary, ids binary, sizes binary, marks binary, words binary, runs binary, docs binary, counts binary"
+_PACKED = "bucket int, slice long, held binary, ids binary, sizes binary, contexts binary, runs binary, docs binary, words binary"
+#: Of a bucket of contexts to a range of words: its dishes, training tokens of each, and SWEEPS times its tables (null: as tokens).
+_ASK = "range int, bucket int, words binary, counts binary, tables binary"
+#: A range of the parent: its words, training tokens and customers, and their sums.
+_PARENT = "range int, words binary, counts binary, customers binary, tokens long, kinds long, once long, twice long, seated double"
 
 
 def _slices(batches: Iterator[pa.RecordBatch]):
-    """(slice, ids, held, digests, words) of slices of documents."""
+    """(slice, ids, held, words) of slices of documents."""
     task, n = TaskContext.get(), 0
     base = (task.partitionId() if task else 0) << 32
     for batch in batches:
@@ -84,62 +88,48 @@ def _slices(batches: Iterator[pa.RecordBatch]):
             part = batch.slice(k, ROWS)
             texts, ids, held = tx.texts_in(part), tx.column(part, "doc_id"), np.array(tx.column(part, "held"), dtype=bool)
             for a, b in tx.slices(texts, SLICE_BYTES):
-                marks = [hashlib.blake2b(t, digest_size=8).digest() for t in texts[a:b]]
-                yield base + n, ids[a:b], held[a:b], b"".join(marks), tx.words_of(texts[a:b], lower=True)
+                yield base + n, ids[a:b], held[a:b], tx.words_of(texts[a:b], lower=True)
                 n += 1
 
 
-def _pack(buckets: int, pairs: bool):
-    """Rows of words (pairs: of contexts, with the words behind them) by bucket of the key."""
+def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    fields = [c.split() for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kinds[t]) for c, (_, t) in enumerate(fields)], names=[n for n, _ in fields])
+
+
+def _pack(buckets: int):
+    """Rows of contexts, with the words behind them, by bucket of the context."""
     shift = _U(56 - (buckets.bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, ids, held, marks, w in _slices(batches):
+        for number, ids, held, w in _slices(batches):
             size = np.diff(w.offsets) + 1
             word = np.insert(w.hashes, w.offsets[1:], _END) >> _U(8)
             doc = np.repeat(np.arange(len(ids)), size)
-            key = np.insert(w.hashes, w.offsets[:-1], _BEGIN) >> _U(8) if pairs else word
+            key = np.insert(w.hashes, w.offsets[:-1], _BEGIN) >> _U(8)
             order = np.argsort(key, kind="stable")
-            key, doc = key[order], doc[order]
-            if pairs:
-                first = _runs(key)
-                at = np.searchsorted((key >> shift).astype(np.int64), np.arange(buckets + 1))
-                at_run = np.searchsorted(first, at)
-                keys, run_n = _bytes(key[first], 7), np.diff(np.append(first, len(key))).astype("<u4")
-                words, counts = _bytes(word[order] >> _U(8), 6), None
-            else:
-                first = _runs(key, doc)
-                n = np.diff(np.append(first, len(key)))
-                parts = -(-n // 65535)
-                first = np.repeat(first, parts)
-                last = np.cumsum(parts) - 1
-                counts = np.full(len(first), 65535, dtype="<u2")
-                counts[last] = n - (parts - 1) * 65535
-                key, doc = key[first], doc[first]
-                at = np.searchsorted((key >> shift).astype(np.int64), np.arange(buckets + 1))
-                keys = _bytes(key, 7)
-            docs = doc.astype("<u2")
+            key, docs = key[order], doc[order].astype("<u2")
+            first = _runs(key)
+            at = np.searchsorted((key >> shift).astype(np.int64), np.arange(buckets + 1))
+            at_run = np.searchsorted(first, at)
+            keys, run_n = _bytes(key[first], 7), np.diff(np.append(first, len(key))).astype("<u4")
+            words = _bytes(word[order], 7)
             meta = int(tx.mix(np.array([number], dtype=_U))[0] % _U(buckets))
             rows = []
             for b in range(buckets):
                 x, y = at[b], at[b + 1]
                 if x == y and b != meta:
                     continue
-                own = b == meta
-                about = (b"".join((i if i is not None else -(1 << 63)).to_bytes(8, "little", signed=True) for i in ids), size.astype("<u4").tobytes(), marks) if own else (None, None, None)
-                if pairs:
-                    rx, ry = at_run[b], at_run[b + 1]
-                    body = (keys[rx:ry].tobytes(), run_n[rx:ry].tobytes(), docs[x:y].tobytes(), words[x:y].tobytes())
-                else:
-                    body = (keys[x:y].tobytes(), None, docs[x:y].tobytes(), counts[x:y].tobytes())
-                rows.append((b, number, np.packbits(held).tobytes(), *about, *body))
-            types = [pa.int32(), pa.int64(), *[pa.binary()] * 8]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=["bucket", "slice", "held", "ids", "sizes", "marks", "words", "runs", "docs", "counts"])
+                about = (b"".join((i if i is not None else -(1 << 63)).to_bytes(8, "little", signed=True) for i in ids), size.astype("<u4").tobytes()) if b == meta else (None, None)
+                rx, ry = at_run[b], at_run[b + 1]
+                rows.append((b, number, np.packbits(held).tobytes(), *about, keys[rx:ry].tobytes(), run_n[rx:ry].tobytes(), docs[x:y].tobytes(), words[x:y].tobytes()))
+            yield _table(rows, _PACKED)
 
     return run
 
 
-_BACK = "slice long, ids binary, sizes binary, marks binary, held binary, docs binary, sums binary, known binary, model binary, bucket int"
+_BACK = "slice long, bucket int, ids binary, sizes binary, held binary, docs binary, sums binary, base binary, known binary"
 
 
 def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -161,108 +151,42 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
         yield rows
 
 
-def _replies(rows: list[dict], lengths: list[int], doc: np.ndarray, value: np.ndarray, known: np.ndarray | None) -> list[dict]:
+def _replies(rows: list[dict], lengths: list[int], doc: np.ndarray, score: np.ndarray, base: np.ndarray, known: np.ndarray) -> list[tuple]:
     """One row to a slice: its documents in this bucket and the sums of their values."""
     out, at = [], 0
     for r, n in zip(rows, lengths, strict=True):
         d = doc[at : at + n]
-        sums = np.bincount(d, weights=value[at : at + n]) if n else np.zeros(0)
         there = np.unique(d)
-        row = {"slice": r["slice"], **{c: r[c] for c in ("ids", "sizes", "marks")}, "held": r["held"] if r["ids"] is not None else None}
-        row |= {"docs": there.astype("<u2").tobytes(), "sums": sums[there].astype("<f8" if known is not None else "<f4").tobytes()}
-        row["known"] = np.bincount(d, weights=known[at : at + n])[there].astype("<u4").tobytes() if known is not None and n else None
-        out.append(row | {"model": None, "bucket": r["bucket"]})
+        sums = [np.bincount(d, weights=v[at : at + n])[there] if n else np.zeros(0) for v in (score, base, known)]
+        # numbers of known words are as wide as the largest needs
+        width = "<u1" if not n or sums[2].max() < 1 << 8 else "<u4"
+        held = r["held"] if r["ids"] is not None else None
+        out.append((r["slice"], r["bucket"], r["ids"], r["sizes"], held, there.astype("<u2").tobytes(), sums[0].astype("<f4").tobytes(), sums[1].astype("<f8").tobytes(), sums[2].astype(width).tobytes()))
         at += n
     return out
 
 
-def _batch(rows: list[dict]) -> pa.RecordBatch:
-    types = {"slice": pa.int64(), "bucket": pa.int32()}
-    names = [c.split()[0] for c in _BACK.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], types.get(c, pa.binary())) for c in names], names=names)
-
-
 def _held(r: dict) -> np.ndarray:
     return np.unpackbits(np.frombuffer(r["held"], dtype=np.uint8)).astype(bool)
 
 
-def _count(buckets: int, heavy: int, cells: int):
-    """Counts words over training documents; replies with sums of log10(c + 0.1), and the parent's share."""
-    own, shift = cells // buckets, _U(56 - (cells.bit_length() - 1))
+@dataclass
+class Parent:
+    """Sums over the restaurant of single words; its dishes have one table each, as the base is uniform."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _grouped(batches):
-            word = np.concatenate([_numbers(r["words"], 7) for r in rows])
-            docs = [np.frombuffer(r["docs"], dtype="<u2").astype(np.int64) for r in rows]
-            doc = np.concatenate(docs)
-            n = np.concatenate([np.frombuffer(r["counts"], dtype="<u2") for r in rows]).astype(np.int64)
-            learn = np.concatenate([n_ * ~_held(r)[d] for r, d, n_ in zip(rows, docs, np.split(n, np.cumsum([len(d) for d in docs])[:-1]), strict=True)])
-            dish, of = np.unique(word, return_inverse=True)
-            c = np.bincount(of, weights=learn, minlength=len(dish)).astype(np.int64)
-            value, known = n * np.log10(c[of] + 0.1), n * (c[of] > 0)
-            out = _replies(rows, [len(d) for d in docs], doc, value, known)
-            seen = c > 0
-            dish, c = dish[seen], c[seen]
-            top = np.argsort(-c, kind="stable")[: max(1, heavy // buckets)]
-            rest = np.ones(len(c), dtype=bool)
-            rest[top] = False
-            cell = (dish[rest] >> shift).astype(np.int64) - rows[0]["bucket"] * own
-            stats = np.array([c.sum(), len(c), (c == 1).sum(), (c == 2).sum(), len(top)], dtype="<i8")
-            mass = np.bincount(cell, weights=c[rest], minlength=own).astype("<f4")
-            kinds = np.bincount(cell, minlength=own).astype("<f4")
-            model = b"".join(x.tobytes() for x in (stats, (dish[top] >> _U(8)).astype("<u8"), c[top].astype("<f8"), mass, kinds))
-            yield _batch([*out, {"model": model, "bucket": rows[0]["bucket"]}])
+    tokens: int
+    vocabulary: int
+    discount: float
+    customers: float
 
-    return run
+    def probability(self, share: np.ndarray) -> np.ndarray:
+        """Of dishes whose customers, less the discount, are ``share``."""
+        base = (PARENT_STRENGTH + self.discount * self.vocabulary) / (self.vocabulary + 1)
+        return (share + base) / (PARENT_STRENGTH + self.customers)
 
 
-class Parent:
-    """The restaurant of single words; its dishes have one table each, as the base is uniform."""
-
-    def __init__(self, rows: list[tuple[int, bytes]], buckets: int, cells: int):
-        self.cells, own = cells, cells // buckets
-        self.mass, self.kinds = np.zeros(cells, dtype=np.float32), np.zeros(cells, dtype=np.float32)
-        stats, words, counts = np.zeros(5, dtype=np.int64), [], []
-        for bucket, b in rows:
-            s = np.frombuffer(b[:40], dtype="<i8")
-            stats = stats + s
-            k, at = int(s[4]), 40
-            words.append(np.frombuffer(b[at : at + 8 * k], dtype="<u8"))
-            counts.append(np.frombuffer(b[at + 8 * k : at + 16 * k], dtype="<f8"))
-            tail = np.frombuffer(b[at + 16 * k :], dtype="<f4")
-            self.mass[bucket * own : (bucket + 1) * own], self.kinds[bucket * own : (bucket + 1) * own] = tail[:own], tail[own:]
-        self.tokens, self.vocabulary, once, twice, _ = (int(x) for x in stats)
-        self.discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once and twice else 0.5
-        word, count = (np.concatenate(x) if x else np.zeros(0) for x in (words, counts))
-        order = np.argsort(word, kind="stable")
-        self.words, self.counts = word[order].astype(_U), count[order]
-        self.customers = float(self.tokens)
-
-    def place(self, word: np.ndarray) -> np.ndarray:
-        """Of dishes: their cell, or behind the cells their number among the frequent ones."""
-        out = (word >> _U(48 - (self.cells.bit_length() - 1))).astype(np.int64)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
-            out = np.where(self.words[at] == word, self.cells + at, out)
-        return out
-
-    def take(self, customers: np.ndarray) -> None:
-        """Put tables of the contexts, by place, in the customers' stead."""
-        self.mass, self.counts = customers[: self.cells].astype(np.float32), customers[self.cells :]
-        self.customers = float(customers.sum())
-
-    def probability(self, word: np.ndarray) -> np.ndarray:
-        """Of dishes given by the upper 48 of their 56 bits."""
-        total = PARENT_STRENGTH + self.customers
-        base = (PARENT_STRENGTH + self.discount * self.vocabulary) / total / (self.vocabulary + 1)
-        cell = (word >> _U(48 - (self.cells.bit_length() - 1))).astype(np.int64)
-        kinds = self.kinds[cell].astype(np.float64)
-        # a cell cannot tell its words from one that was never seen
-        share = np.maximum(self.mass[cell] - self.discount * kinds, 0) / (kinds + 1)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
-            share = np.where(self.words[at] == word, np.maximum(self.counts[at] - self.discount, 0), share)
-        return share / total + base
+def _discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.05, once / (once + 2 * twice))) if once and twice else 0.5
 
 
 def seat(c: np.ndarray, tables_there: np.ndarray, p0: np.ndarray, rng: np.random.Generator, d: float = DISCOUNT, strength: float = STRENGTH) -> np.ndarray:
@@ -306,14 +230,16 @@ def predictive(c: np.ndarray, context: np.ndarray, p0: np.ndarray, seed: int) ->
 
 
 class _Contexts:
-    """Occurrences of one bucket of contexts and their (context, dish) cells."""
+    """Occurrences of one bucket of contexts, their (context, dish) cells and its dishes, in order."""
 
     def __init__(self, rows: list[dict]):
+        self.answers = sorted((r for r in rows if r["slice"] is None), key=lambda r: r["range"])
+        self.rows = rows = [r for r in rows if r["slice"] is not None]
         docs = [np.frombuffer(r["docs"], dtype="<u2").astype(np.int64) for r in rows]
         self.doc, self.lengths = np.concatenate(docs), [len(d) for d in docs]
         learn = np.concatenate([~_held(r)[d] for r, d in zip(rows, docs, strict=True)])
-        context = np.concatenate([np.repeat(_numbers(r["words"], 7), np.frombuffer(r["runs"], dtype="<u4")) for r in rows])
-        word = np.concatenate([_numbers(r["counts"], 6) for r in rows])
+        context = np.concatenate([np.repeat(_numbers(r["contexts"], 7), np.frombuffer(r["runs"], dtype="<u4")) for r in rows])
+        word = np.concatenate([_numbers(r["words"], 7) for r in rows])
         order = np.lexsort((word, context))
         context, word = context[order], word[order]
         first = _runs(context, word)
@@ -323,91 +249,139 @@ class _Contexts:
         own = context[first]
         self.context = np.zeros(len(first), dtype=np.int64)
         self.context[1:] = np.cumsum(own[1:] != own[:-1])
-        self.dish = word[first]
+        self.dishes, self.dish = np.unique(word[first], return_inverse=True)
+
+    def answered(self, column: str, kind: str) -> np.ndarray:
+        """What ranges answered for each dish: ranges are in the order of dishes."""
+        got = np.concatenate([np.frombuffer(r[column], dtype=kind) for r in self.answers]) if self.answers else np.zeros(0, dtype=kind)
+        if len(got) != len(self.dishes):
+            raise ValueError(f"{len(got)} answers to {len(self.dishes)} requests")
+        return got
+
+    def ask(self, ranges: int, tables: np.ndarray | None) -> pa.RecordBatch:
+        """Requests to ranges, with numbers of training tokens and of tables by dish."""
+        count = np.bincount(self.dish, weights=self.customers, minlength=len(self.dishes)).astype("<u4")
+        total = None if tables is None else np.rint(np.bincount(self.dish, weights=tables, minlength=len(self.dishes))).astype("<u4")
+        words, shift = _bytes(self.dishes, 7), _U(56 - (ranges.bit_length() - 1))
+        cut = np.searchsorted((self.dishes >> shift).astype(np.int64), np.arange(ranges + 1))
+        bucket = self.rows[0]["bucket"]
+        rows = [(r, bucket, words[a:b].tobytes(), count[a:b].tobytes(), None if total is None else total[a:b].tobytes()) for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+        return _table(rows, _ASK)
+
+
+def _ask(ranges: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches):
+            yield _Contexts(rows).ask(ranges, None)
+
+    return run
 
 
-def _score(parent):
+def _seat_all(parent: Parent, buckets: int, ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches):
             x = _Contexts(rows)
-            p = predictive(x.customers, x.context, parent.value.probability(x.dish), rows[0]["bucket"])
-            yield _batch(_replies(rows, x.lengths, x.doc, np.log10(p)[x.cell], None))
+            p0 = parent.probability(x.answered("shares", "<f8"))[x.dish]
+            tables = np.zeros(len(x.dish))
+            for t, _ in sweeps(x.customers, x.context, p0, rows[0]["bucket"] + buckets):
+                tables += t
+            yield x.ask(ranges, tables)
 
     return run
 
 
-def _seat_all(parent, buckets: int):
-    """Tables by place in the parent, sparse, a row to a bucket of contexts and range of places."""
+def _score(parent: Parent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        root: Parent = parent.value
-        size = -(-(root.cells + len(root.words)) // RANGES)
         for rows in _grouped(batches):
             x = _Contexts(rows)
-            tables = np.zeros(len(x.dish))
-            for t, _ in sweeps(x.customers, x.context, root.probability(x.dish), rows[0]["bucket"] + buckets):
-                tables += t
-            place, of = np.unique(root.place(x.dish), return_inverse=True)
-            total = np.bincount(of, weights=tables / SWEEPS, minlength=len(place))
-            cut = np.searchsorted(place, np.arange(RANGES + 1) * size)
-            parts = [(r, rows[0]["bucket"], place[a:b].astype("<u4").tobytes(), total[a:b].astype("<f4").tobytes()) for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
-            yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in parts], t) for c, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["range", "bucket", "places", "tables"])
+            count = x.answered("counts", "<i8")[x.dish]
+            p = predictive(x.customers, x.context, parent.probability(x.answered("shares", "<f8"))[x.dish], rows[0]["bucket"])
+            yield _table(_replies(x.rows, x.lengths, x.doc, np.log10(p)[x.cell], np.log10(count + 0.1)[x.cell], (count > 0)[x.cell]), _BACK)
 
     return run
 
 
-def _sum_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tables by place summed over buckets, one row to a range; partitions are sorted by range and bucket."""
+def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges of the parent, summed over buckets; partitions are sorted by range and bucket."""
 
-    def emit(number: int, place: list[np.ndarray], tables: list[np.ndarray]) -> pa.RecordBatch:
-        at, of = np.unique(np.concatenate(place), return_inverse=True)
-        total = np.bincount(of, weights=np.concatenate(tables), minlength=len(at))
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([at.astype("<u4").tobytes()], pa.binary()), pa.array([total.astype("<f8").tobytes()], pa.binary())], names=["range", "places", "tables"])
+    def join(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+        words, of = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        return words, *(np.bincount(of, weights=np.concatenate([p[k] for p in parts]), minlength=len(words)) for k in (1, 2))
 
-    now, place, tables, held = None, [], [], 0
+    def emit(number: int, parts: list[tuple]) -> pa.RecordBatch:
+        words, count, customers = join(parts)
+        seen = count > 0
+        words, count, customers = words[seen], count[seen].astype("<i8"), customers[seen]
+        sums = (int(count.sum()), len(count), int((count == 1).sum()), int((count == 2).sum()), float(customers.sum()))
+        return _table([(number, _bytes(words, 7).tobytes(), count.tobytes(), customers.astype("<f8").tobytes(), *sums)], _PARENT)
+
+    now, parts, held = None, [], 0
     for r in _one_by_one(batches):
         if now is not None and r["range"] != now:
-            yield emit(now, place, tables)
-            place, tables, held = [], [], 0
+            yield emit(now, parts)
+            parts, held = [], 0
         now = r["range"]
-        place.append(np.frombuffer(r["places"], dtype="<u4"))
-        tables.append(np.frombuffer(r["tables"], dtype="<f4").astype(np.float64))
-        held += len(place[-1])
+        count = np.frombuffer(r["counts"], dtype="<u4")
+        parts.append((_numbers(r["words"], 7), count, count if r["tables"] is None else np.frombuffer(r["tables"], dtype="<u4") / SWEEPS))
+        held += len(count)
         if held > 1_000_000:  # summed as it grows: no more than one table of the range stays
-            one = emit(now, place, tables).to_pylist()[0]
-            place, tables = [np.frombuffer(one["places"], dtype="<u4")], [np.frombuffer(one["tables"], dtype="<f8")]
-            held = len(place[0])
+            parts = [join(parts)]
+            held = len(parts[0][0])
     if now is not None:
-        yield emit(now, place, tables)
+        yield emit(now, parts)
 
 
-def _gather(known: bool):
-    """Sums over buckets for each document of a slice; partitions are sorted by slice."""
+_ANSWER = "bucket int, range int, counts binary, shares binary"
+
+
+def _answer(discount: float):
+    """Exact numbers of the dishes asked for; a range's parent comes before its requests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(rows: list[dict]) -> pa.RecordBatch:
-            about = next(r for r in rows if r["ids"] is not None)
-            ids = np.frombuffer(about["ids"], dtype="<i8")
-            sums, seen = np.zeros(len(ids)), np.zeros(len(ids), dtype=np.int64)
-            for r in sorted(rows, key=lambda r: r["bucket"]):
-                d = np.frombuffer(r["docs"], dtype="<u2")
-                sums[d] += np.frombuffer(r["sums"], dtype="<f8" if known else "<f4")
-                if known and r["known"]:
-                    seen[d] += np.frombuffer(r["known"], dtype="<u4")
-            cols = [pa.array(ids, mask=ids == -(1 << 63)), pa.array(np.frombuffer(about["marks"], dtype="<i8")), pa.array(_held(about)[: len(ids)]), pa.array(np.frombuffer(about["sizes"], dtype="<u4").astype(np.int64)), pa.array(seen), pa.array(sums)]
-            return pa.RecordBatch.from_arrays(cols, names=["doc_id", "mark", "held_out", "n_tokens", "n_known", "total"])
-
-        rows: list[dict] = []
+        now, words, count, share = None, None, None, None
         for r in _one_by_one(batches):
-            if rows and rows[0]["slice"] != r["slice"]:
-                yield emit(rows)
-                rows = []
-            rows.append(r)
-        if rows:
-            yield emit(rows)
+            if r["bucket"] < 0:
+                now, words, count = r["range"], _numbers(r["words"], 7), np.frombuffer(r["counts"], dtype="<i8")
+                share = np.maximum(np.frombuffer(r["customers"], dtype="<f8") - discount, 0)
+                continue
+            if r["range"] != now:
+                raise ValueError(f"range {r['range']} of the parent is missing")
+            asked = _numbers(r["words"], 7)
+            at = np.minimum(np.searchsorted(words, asked), max(len(words) - 1, 0))
+            there = words[at] == asked if len(words) else np.zeros(len(asked), dtype=bool)
+            values = [np.where(there, v[at], 0) if len(words) else np.zeros(len(asked)) for v in (count, share)]
+            yield _table([(r["bucket"], r["range"], values[0].astype("<i8").tobytes(), values[1].astype("<f8").tobytes())], _ANSWER)
 
     return run
 
 
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over buckets for each document of a slice; partitions are sorted by slice."""
+
+    def emit(rows: list[dict]) -> pa.RecordBatch:
+        about = next(r for r in rows if r["ids"] is not None)
+        ids = np.frombuffer(about["ids"], dtype="<i8")
+        score, base, seen = np.zeros(len(ids)), np.zeros(len(ids)), np.zeros(len(ids), dtype=np.int64)
+        for r in sorted(rows, key=lambda r: r["bucket"]):
+            d = np.frombuffer(r["docs"], dtype="<u2")
+            if not len(d):
+                continue
+            score[d] += np.frombuffer(r["sums"], dtype="<f4")
+            base[d] += np.frombuffer(r["base"], dtype="<f8")
+            seen[d] += np.frombuffer(r["known"], dtype="<u1" if len(r["known"]) == len(d) else "<u4")
+        cols = [pa.array(ids, mask=ids == -(1 << 63)), pa.array(_held(about)[: len(ids)]), pa.array(np.frombuffer(about["sizes"], dtype="<u4").astype(np.int64)), pa.array(seen), pa.array(base), pa.array(score)]
+        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
+
+    rows: list[dict] = []
+    for r in _one_by_one(batches):
+        if rows and rows[0]["slice"] != r["slice"]:
+            yield emit(rows)
+            rows = []
+        rows.append(r)
+    if rows:
+        yield emit(rows)
+
+
 def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``.
 
@@ -417,32 +391,39 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = 1 << min(14, max(6, (4 * tasks - 1).bit_length()))
+    ranges = min(buckets, RANGES)
     slim = docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held"))
 
-    def exchange(pairs: bool, reply, schema: str = _BACK) -> DataFrame:
-        packed = slim.mapInArrow(_pack(buckets, pairs), _PACKED)
+    def exchange(reply, schema: str, answers: DataFrame | None = None) -> DataFrame:
+        packed = slim.mapInArrow(_pack(buckets), _PACKED)
+        if answers is not None:
+            packed = packed.unionByName(answers, allowMissingColumns=True)
         return packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(reply, schema)
 
-    def gathered(replies: DataFrame, known: bool) -> DataFrame:
-        rows = replies.where("slice is not null").repartition(tasks, "slice").sortWithinPartitions("slice")
-        return rows.mapInArrow(_gather(known), "doc_id long, mark long, held_out boolean, n_tokens long, n_known long, total double")
-
-    counted = save(exchange(False, _count(buckets, HEAVY, CELLS)), "replies")
-    parent = Parent([(r[0], bytes(r[1])) for r in counted.where("model is not null").select("bucket", "model").collect()], buckets, CELLS)
-    base = save(gathered(counted, True).dropDuplicates(["doc_id", "mark"]), "base")
-    discard(counted)
+    def summed(asked: DataFrame) -> tuple[DataFrame, Parent]:
+        ordered = asked.repartition(tasks, "range").sortWithinPartitions("range", "bucket")
+        table = save(ordered.mapInArrow(_sum, _PARENT), "parent")
+        total = table.agg(*(F.sum(c) for c in ("tokens", "kinds", "once", "twice", "seated"))).first()
+        tokens, kinds, once, twice, customers = (x or 0 for x in total)
+        return table, Parent(tokens, kinds, _discount(once, twice), float(customers))
+
+    def answered(asked: DataFrame) -> tuple[DataFrame, Parent]:
+        table, parent = summed(asked)
+        both = asked.drop("tables").unionByName(table.select("range", F.lit(-1).alias("bucket"), "words", "counts", "customers"), allowMissingColumns=True)
+        ordered = both.repartition(tasks, "range").sortWithinPartitions("range", "bucket")
+        answers = save(ordered.mapInArrow(_answer(parent.discount), _ANSWER), "answers")
+        discard(asked)
+        discard(table)
+        return answers, parent
+
+    answers, parent = answered(save(exchange(_ask(ranges), _ASK), "requests"))
     for _ in range(PARENT_SWEEPS):
-        seated = save(exchange(True, _seat_all(spark.sparkContext.broadcast(parent), buckets), "range int, bucket int, places binary, tables binary"), "tables")
-        sums = save(seated.repartition(min(tasks, RANGES), "range").sortWithinPartitions("range", "bucket").mapInArrow(_sum_tables, "range int, places binary, tables binary"), "parent")
-        discard(seated)
-        customers = np.zeros(parent.cells + len(parent.words))
-        for r in sums.collect():  # at most RANGES
-            customers[np.frombuffer(bytes(r.places), dtype="<u4")] = np.frombuffer(bytes(r.tables), dtype="<f8")
-        parent.take(customers)
-    scored = gathered(exchange(True, _score(spark.sparkContext.broadcast(parent))), False).select("doc_id", "mark", F.col("total").alias("score"))
-    s, b = scored.alias("s"), base.alias("b")
-    joined = s.join(b, F.col("s.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("s.mark") == F.col("b.mark")))
+        asked = save(exchange(_seat_all(parent, buckets, ranges), _ASK, answers), "tables")
+        discard(answers)
+        answers, parent = answered(asked)
+    replies = exchange(_score(parent), _BACK, answers).repartition(tasks, "slice").sortWithinPartitions("slice")
+    scored = replies.mapInArrow(_gather, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double")
     per_token = F.log10(F.lit(parent.tokens + 0.1 * (parent.vocabulary + 1)))
-    return joined.select(
-        "s.doc_id", "held_out", "n_tokens", "n_known", F.lit(parent.tokens).cast("long").alias("train_tokens"), (F.col("total") - F.col("n_tokens") * per_token).alias("base_score"), "score"
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(parent.tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * per_token).alias("base_score"), "score"
     )
