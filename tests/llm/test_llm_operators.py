@@ -527,6 +527,21 @@ def test_html(spark):
     assert t.main == "html/body/section" and len({v for v, _ in t.template}) == 1
 
 
+def test_html_drops_what_the_template_fixes(spark):
+    from tidemark.llm.html_extract import extract_text
+
+    def source(i):
+        body = f"<div class=x1><p>words {i} of page</p><div class=x7>Read our app</div><p>more {i}</p></div>"
+        return f"<html><body><div class=x3>licence line</div>{body}<p>Read our app</p></body></html>" if i else "<html><body><p>only here</p></body></html>"
+
+    rows = [(i, f"http://h.org/{i}", source(i)) for i in range(10)] + [(100 + i, f"http://few.org/{i}", source(5)) for i in range(3)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"words {i} of page more {i}" for i in range(1, 10)) and got[0] == "only here"
+    assert got[100] == "licence line words 5 of page Read our app more 5 Read our app"
+    copies = [(i, "http://h.org/", "<p>the same text</p>") for i in range(10)]
+    assert {r.text for r in extract_text(spark.createDataFrame(copies, "page_id long, url string, html string")).collect()} == {"the same text"}
+
+
 def test_html_odd_sources():
     from tidemark.llm.html_extract import text_of
 
