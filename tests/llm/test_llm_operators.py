@@ -542,6 +542,18 @@ def test_html_drops_what_the_template_fixes(spark):
     assert {r.text for r in extract_text(spark.createDataFrame(copies, "page_id long, url string, html string")).collect()} == {"the same text"}
 
 
+def test_html_keeps_every_slot(spark):
+    from tidemark.llm.html_extract import extract_text, text_of
+
+    lead, rest = "lead words of some length", "rest of it"
+    parts = f"<div class=post><div class=lead>{lead} {{0}}</div><div class=rest>{rest} {{0}}</div></div>"
+    rows = [(i, f"http://h.org/{i}", parts.format(i)) for i in range(10)]
+    got = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r.text == f"{lead} {r.page_id} {rest} {r.page_id}" for r in got)
+    assert text_of(f"<main><article>{lead}</article><section>{rest}</section></main>", None) == f"{lead} {rest}"
+    assert text_of(f"<p class=lead>{lead}</p><p>{rest}</p>", None) == f"{lead} {rest}"
+
+
 def test_html_odd_sources():
     from tidemark.llm.html_extract import text_of
 
