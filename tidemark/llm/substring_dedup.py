@@ -245,14 +245,14 @@ def repeated_spans(docs: DataFrame, k: int = WORDS, m: int = ANCHOR_WORDS) -> Da
         raise ValueError("the anchor must be no longer than the window")
     slim = _texts(docs)
     paths = save(slim.mapInArrow(_paths(k, m), "doc_id long, place long, n int, anchor long, content long"), "paths")
-    shared = paths.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
+    # an anchor with several contents is where the graph branches
+    contents = (F.min("content") < F.max("content")).alias("branches")
+    shared = paths.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), contents).where("lo < hi").select("anchor", "branches")
     met = save(paths.join(shared, "anchor"), "met")
     discard(paths)
     # nonbranching paths compact into one holder each
     compact = met.groupBy("anchor", "content").agg(F.min("doc_id").alias("holder"), F.min_by("place", "doc_id").alias("source_place"))
-    branch = compact.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("branches"))
-    held = compact.join(branch, "anchor")
-    seen = met.join(held, ["anchor", "content"]).where("holder < doc_id or branches and holder = doc_id")
+    seen = met.join(compact, ["anchor", "content"]).where("holder < doc_id or branches and holder = doc_id")
     seen = save(seen.select("doc_id", "place", "n", "anchor", F.col("holder").alias("source"), "source_place", (F.col("holder") < F.col("doc_id")).alias("whole")), "compacted")
     discard(met)
     # branching ones are opened into edges
