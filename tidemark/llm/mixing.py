@@ -2,9 +2,11 @@
 
 Target sizes come from water-filling the weights under a cap of ``most`` times a
 source's size. A source first takes every document as many whole times as fit;
-the rest is a sample: each document gets a uniform number u from its id and the
-seed, is ranked by odds(u) / odds(p), p its inclusion probability, and the
-ranks are taken while they fit into the remaining words. The last place goes to
+the rest is a sample: each document gets a uniform number u from the MD5 of its id
+and the seed, is ranked by odds(u) / odds(p), p its inclusion probability, and the
+ranks are taken while they fit into the remaining words. Inclusion is in proportion
+to the square root of the size unless another weight is given, so that long
+documents, which hold most words, are likelier than short ones. The last place goes to
 the document behind the cut, in the cut's bin, whose size comes nearest to the
 words still missing, if that brings the total nearer.
 
@@ -60,7 +62,8 @@ def _to_sources(docs: DataFrame, sources: DataFrame, n_sources: int) -> DataFram
 
 def _ranked(docs: DataFrame, weight: Column, seed: int) -> DataFrame:
     """Adds _key, increasing with the Pareto rank and within 0 to 1, where a sample of the source is due."""
-    u = (F.xxhash64("doc_id", F.lit(seed)).bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)
+    text = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}"))
+    u = (F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
     p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-12), F.col("_part") * weight / F.col("_mean")))
     rank = u / (1 - u) / (p / (1 - p))
     flat = rank * F.col("_part") / (1 - F.col("_part"))
@@ -70,15 +73,17 @@ def _ranked(docs: DataFrame, weight: Column, seed: int) -> DataFrame:
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, most: int = MOST_COPIES, seed: int = SEED, inclusion: Column | None = None) -> DataFrame:
     """All columns of ``docs`` with size, source_size, target, copies and taken.
 
-    Inclusion probabilities in a source's sample are in proportion to ``inclusion``; by
-    default all documents of a source have the same. Columns of ``docs``
+    Inclusion probabilities in a source's sample are in proportion to ``inclusion``, over the
+    columns of ``docs`` and size; by default to the root of the size. Columns of ``docs``
     with one of the added names are replaced.
     """
     docs = docs.drop("size", "source_size", "target", "copies", "taken")
-    weight = F.lit(1.0) if inclusion is None else inclusion
+    weight = F.sqrt("size") if inclusion is None else inclusion
     sized = docs.withColumn("size", size_of())
     slim = save(sized.select("doc_id", "source", "size", weight.alias("_weight")), "sizes")
-    mean = F.coalesce(F.try_divide(F.sum(F.col("size") * F.col("_weight")), F.sum("size")), F.lit(1.0))
+    # in decimals, whose sum does not depend on the order of rows
+    weighted = F.sum((F.col("size") * F.col("_weight")).cast("decimal(30,6)")).cast("double")
+    mean = F.coalesce(F.try_divide(weighted, F.sum("size")), F.lit(1.0))
     sums = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"), mean.alias("_mean"))
     plan = targets(sums, weights, share, most).withColumn("_ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     plan = save(plan.withColumn("_whole", F.floor("_ratio")).withColumn("_part", F.col("_ratio") - F.col("_whole")).drop("_ratio"), "targets")

@@ -122,6 +122,39 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+OP7_SQL = r"""
+with s as (select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size from documents),
+src as (
+  select source, cast(sum(size) as bigint) as source_size, count(*) as n_docs,
+    coalesce(cast(sum(cast(size * sqrt(size) as decimal(30, 6))) as double) / nullif(sum(size), 0), 1.0) as mean
+  from s group by source),
+w as (select *, cast(case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as double) as w, cast(3 * source_size as double) as cap from src),
+lv as (
+  select *, (cast(sum(source_size) over () as double) - coalesce(sum(cap) over (order by cap / w, source nulls last rows between unbounded preceding and 1 preceding), 0))
+    / sum(w) over (order by cap / w, source nulls last rows between current row and unbounded following) as level
+  from w),
+t as (select source, source_size, n_docs, mean, least(cap, max(level) over () * w) as target from lv),
+plan as (select *, case when source_size > 0 then target / source_size else 0 end as ratio from t),
+p as (
+  select s.*, source_size, target, n_docs, floor(ratio) as whole, ratio - floor(ratio) as part, coalesce(doc_id, -9223372036854775808) as id,
+    (cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':20240501'), 1, 13) as bigint) + 0.5) / 4503599627370496 as u,
+    least(1 - 1e-9, greatest(1e-12, (ratio - floor(ratio)) * sqrt(size) / mean)) as prob
+  from s join plan on s.source is not distinct from plan.source),
+f as (select *, case when part > 0 then u / (1 - u) / (prob / (1 - prob)) * part / (1 - part) end as flat from p),
+k as (select *, flat / (1 + flat) as key, floor(flat / (1 + flat) * ceil(n_docs / 2000)) as bin, part * source_size as due from f),
+b as (select source, bin, sum(size) as words, first(due) as due from k where key is not null group by source, bin),
+b2 as (select *, sum(words) over (partition by source order by bin) - words as before from b),
+cut as (select source, min(bin) as cut_bin, arg_min(before, bin) as before, first(due) as due from b2 where before <= due and due <= before + words group by source),
+e as (select k.source, key, id, sum(size) as words, first(cut.before) as before, first(cut.due) as due from k join cut on k.source is not distinct from cut.source and bin = cut_bin group by all),
+e2 as (select *, before + sum(words) over (partition by source order by key, id) as upto from e),
+e3 as (select *, upto <= due as fits, due - coalesce(max(case when upto <= due then upto end) over (partition by source), before) as rest from e2),
+e4 as (select *, fits or (row_number() over (partition by source, fits or abs(words - rest) >= rest order by abs(words - rest), key, id) = 1 and abs(words - rest) < rest) as chosen from e3),
+g as (select k.*, case when k.key is not null and (k.bin < cut_bin or coalesce(chosen, false)) then 1 else 0 end as drawn
+  from k left join cut on k.source is not distinct from cut.source left join e4 on k.source is not distinct from e4.source and k.bin = cut_bin and k.key = e4.key and k.id = e4.id)
+select doc_id, size, source_size, target, cast((whole + drawn) * size as bigint) as taken from g
+"""
+
+
 def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score_texts(_table(spark, sf_dir, "documents"), F.expr(f"{fold(10)} = 0"))
 
@@ -149,4 +182,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extract": op10_html_extract,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2_SQL, "op5_ngram_jaccard": OP5_SQL, "op6_chat_format": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2_SQL, "op5_ngram_jaccard": OP5_SQL, "op6_chat_format": OP6_SQL, "op7_mix_sources": OP7_SQL}
