@@ -8,9 +8,9 @@ statistics of one text are not independent.
 
 The fit uses every labelled row: only class counts, sums and sums of products
 leave the executors. Labels are taken per doc_id by majority (even: 1). Without
-two classes of two rows the score is the prior's. Null and empty texts are
+two classes of two rows every score is one half. Null and empty texts are
 scored by their zero statistics, null doc_ids too; neither repeated rows nor
-extra columns matter.
+extra columns matter. Very long texts are scored whole, ties alike.
 """
 
 from __future__ import annotations
@@ -71,9 +71,11 @@ def fit(rows: DataFrame) -> Model | None:
     """Fit on rows with the features and y, 0 or 1."""
     names = list(FEATURES)
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    # sums of products are taken about a fixed point, for precision
+    # sums of products are taken about the mean of all rows, for precision
+    about = [float(x or 0) for x in rows.agg(*(F.avg(n) for n in names)).first()]
+    centred = rows.select("y", *((F.col(n) - F.lit(x)).alias(n) for n, x in zip(names, about, strict=True)))
     aggs = [F.count(F.lit(1)), *(F.sum(n) for n in names), *(F.sum(F.col(a) * F.col(b)) for a, b in pairs)]
-    found = {r[0]: r[1:] for r in rows.groupBy("y").agg(*aggs).collect()}
+    found = {r[0]: r[1:] for r in centred.groupBy("y").agg(*aggs).collect()}
     if any(found.get(c, (0,))[0] < 2 for c in (0, 1)):
         return None
     d, means, covs, n = len(names), [], [], []
@@ -84,7 +86,7 @@ def fit(rows: DataFrame) -> Model | None:
         for (a, b), v in zip(pairs, r[d + 1 :], strict=True):
             i, j = names.index(a), names.index(b)
             second[i, j] = second[j, i] = v / r[0]
-        means.append(mean)
+        means.append(mean + np.array(about))
         covs.append(second - np.outer(mean, mean))
         n.append(r[0])
     pooled = (covs[0] * n[0] + covs[1] * n[1]) / sum(n)
