@@ -151,6 +151,25 @@ def test_substring_dedup_over_branching_and_periodic_texts(spark):
     assert len(checked) == spans.count() > 0 and all(r.equal and r.source < r.doc_id for r in checked)
 
 
+def test_substring_dedup_of_one_id_with_several_texts_and_a_common_passage(spark, monkeypatch):
+    from tidemark.llm import substring_dedup as d
+
+    monkeypatch.setattr(d, "PACKET", 300)
+    rng = random.Random(12)
+    passage, other = sentence(rng, 90, 5000), sentence(rng, 70, 5000)
+    rows = [(1, sentence(rng, 30, 5000) + " " + other), (1, passage), (3, other + " " + sentence(rng, 9, 5000)), (3, sentence(rng, 100, 5000) + " " + passage), (3, None), (None, passage)]
+    rows += [(10 + i, sentence(rng, rng.randint(0, 60), 10**6) + " " + passage + " " + sentence(rng, rng.randint(0, 60), 10**6)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in d.remove_repeats(df).collect()), key=str) == brute_repeats(rows, 50)
+    spans = d.repeated_spans(df)
+    assert spans.where("doc_id >= 10").count() == 60  # one merged span each
+    checked = d.verify_spans(df, spans).collect()
+    assert len(checked) == spans.count() and all(r.equal for r in checked)
+    # a span whose words differ at the source removes nothing
+    wrong = spans.withColumn("source_start", F.col("source_start") + 1)
+    assert not any(r.equal for r in d.verify_spans(df, wrong).collect())
+
+
 def features(t):
     w = low(t)
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
@@ -271,6 +290,30 @@ def test_quality_qda(spark, docs, empty):
     assert q.score_quality(empty, labels).count() == 0 and q.keep_good(odd, labels.limit(0)).count() == len(rows)
 
 
+def test_quality_qda_against_numpy(spark):
+    import numpy as np
+
+    from tidemark.llm import quality_qda as q
+    from tidemark.llm.doc_stats import document_counts
+
+    df, labels, truth = labelled(spark, 400)
+    rows = q.with_features(document_counts(df.select("doc_id", "text"))).collect()
+    x, y = np.array([[r[n] for n in q.FEATURES] for r in rows]), np.array([truth[r.doc_id] for r in rows])
+    cov = [np.cov(x[y == c].T, bias=True) for c in (0, 1)]
+    share = [(y == c).mean() for c in (0, 1)]
+    pooled = cov[0] * share[0] + cov[1] * share[1]
+
+    def density(c):
+        s = (1 - q.SHRINK_POOLED - q.SHRINK_DIAGONAL) * cov[c] + q.SHRINK_POOLED * pooled + q.SHRINK_DIAGONAL * np.diag(np.diag(pooled)) + q.FLOOR * np.eye(len(pooled))
+        off = x - x[y == c].mean(axis=0)
+        return -0.5 * np.linalg.slogdet(s)[1] - 0.5 * np.einsum("ij,jk,ik->i", off, np.linalg.inv(s), off)
+
+    odds = np.clip(math.log(share[1] / share[0]) + (density(1) - density(0)) / q.TEMPER, -60, 60)
+    expected = {r.doc_id: 1 / (1 + math.exp(-o)) for r, o in zip(rows, odds)}
+    got = {r.doc_id: r.score for r in q.score_quality(df, labels).collect()}
+    assert got.keys() == expected.keys() and max(abs(got[i] - expected[i]) for i in got) < 1e-6
+
+
 def brute_counts(t):
     t = t or ""
     w = t.encode().split()
@@ -299,7 +342,7 @@ def test_quality_rules(spark, docs, empty):
     got = q.apply_rules(df, labels).collect()
     good = [r for r in got if truth[r.doc_id] and not r.base_failed]
     bad = [r for r in got if not truth[r.doc_id] and not r.base_failed]
-    assert sum(not r.kept for r in good) <= len(q.RULES) * q.RISK * len(good) and sum(not r.kept for r in bad) > 0.5 * len(bad)
+    assert sum(not r.kept for r in good) <= q.RISK * len(good) and sum(not r.kept for r in bad) > 0.5 * len(bad)
     for t in ("a\na\n \nb\na", "x y z x y z", "a b c d", "\n\n"):
         from tidemark.llm.doc_stats import counts_of
 
@@ -308,14 +351,77 @@ def test_quality_rules(spark, docs, empty):
 
 
 def test_binomial_bounds():
-    from tidemark.llm.quality_rules import binomial_tail, certify, choose
+    from tidemark.llm.quality_rules import binomial_tail, certify, least_labels, path, pool
 
     exact = lambda k, n, p: sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
     for k, n, p in ((0, 10, 0.1), (3, 50, 0.02), (7, 40, 0.3), (10, 10, 0.5)):
         assert abs(binomial_tail(k, n, p) - exact(k, n, p)) < 1e-9
-    assert certify([5, 0, 0], 10, 0.05) is None  # too few to be sure
-    assert certify([900, 1, 0], 10_000, 0.05) == 1
-    assert choose([900, 1, 0, 0, 0], 10_000, [50, 50, 50, 50, 9], 100, 0.05) == 2 and choose([0], 10_000, [0], 100, 0.05) is None
+    assert certify([0, 0], 10, 0.05) == 0  # too few to be sure
+    assert certify([0, 1, 900], 10_000, 0.05) == 2 and certify([], 10_000, 0.05) == 0
+    n = least_labels(0.05, 0.01)
+    assert binomial_tail(0, n, 0.01) <= 0.05 < binomial_tail(0, n - 1, 0.01)
+    assert pool({"en": 5000, "de": 200, None: 150, "fr": 100}) == (["en"], ["fr", None, "de"])
+    assert pool({"en": 5000, "de": 200}) == ([], ["de", "en"]) and pool({"en": 20}) == ([], ["en"]) and pool({}) == ([], [])
+    steps = lambda **at: [at.get(f"s{i}", 0) for i in range(51)]
+    counts = {("a", 1): steps(s0=990, s30=10), ("a", 0): steps(s0=50, s41=50), ("b", 1): steps(s0=1000), ("b", 0): steps(s0=80, s11=20)}
+    moves = path(counts)
+    assert moves == [("a", 35), ("b", 5)]  # cutoffs stand midway between the labels
+
+
+def test_cutoffs_bound_false_rejections_of_the_verdict():
+    """Over many simulated corpora the true rate of false rejections exceeds RISK in no more than LEVEL of them."""
+    import numpy as np
+
+    from tidemark.llm import quality_rules as q
+
+    rng, rules, over, used = np.random.default_rng(4), list(q.RULES)[:4], 0, 0
+    draw = lambda y, n: np.minimum(50, rng.geometric(0.12 if y else 0.03, (n, len(rules))) - 1)
+    truth = draw(1, 200_000)
+    for _ in range(200):
+        shape, held = {y: draw(y, 400) for y in (0, 1)}, draw(1, 900)
+        counts = {(r, y): np.bincount(shape[y][:, i], minlength=51).tolist() for i, r in enumerate(rules) for y in (0, 1)}
+        moves = q.path(counts, worth=1.0)
+        beyond = lambda x, some: np.logical_or.reduce([x[:, rules.index(r)] > i for r, i in some] or [np.zeros(len(x), bool)])
+        sure = q.certify([int(beyond(held, moves[: p + 1]).sum()) for p in range(len(moves))], len(held), q.LEVEL)
+        used += sure > 0
+        over += beyond(truth, moves[:sure]).mean() > q.RISK
+    assert over <= 200 * q.LEVEL + 3 * (200 * q.LEVEL * (1 - q.LEVEL)) ** 0.5 and used
+
+
+def test_quality_rules_against_brute_force(spark):
+    """The verdicts follow from cutoffs found by plain counting."""
+    from tidemark.llm import quality_rules as q
+
+    df, labels, truth = labelled(spark, 2400)
+    rows = df.selectExpr("*", f"pmod(xxhash64(doc_id), {q.SHAPING}) = 0 as shaping").collect()
+
+    def steps(t):
+        n, chars, symbols, dup, repeats = brute_counts(t)
+        w, b = t.encode().split(), t.encode()
+        lines = [x for x in b.split(b"\n") if x.split()]
+        count = lambda cs: sum(b.count(bytes([c])) for c in cs)
+        upper, lower = count(range(65, 91)), count(range(97, 123))
+        at_most = lambda x: min(1.0, x)
+        values = (symbols / max(chars, 1), dup / max(len(lines), 1), repeats / max(n, 1), at_most(count(b"!?") / max(n, 1)), upper / max(upper + lower, 1), sum(x == y for x, y in zip(w, w[1:])) / max(n, 1), 1 - at_most(10 * count(b".,;:") / max(n, 1)))
+        return dict(zip(q.RULES, (min(50, max(0, math.ceil(v * 50))) for v in values))), n < 50 or 100 * repeats > 50 * n
+
+    found = {r.doc_id: (*steps(r.text), r.lang, r.shaping) for r in rows}
+    good = collections.Counter(lang for i, (_, base, lang, shaping) in found.items() if truth[i] and not base and not shaping)
+    alone, pooled = q.pool(dict(good))
+    groups = [[s] for s in alone] + [pooled] * bool(pooled)
+    cuts = {}
+    for strata in groups:
+        own = [(i, s, shaping) for i, (s, base, lang, shaping) in found.items() if lang in strata and not base]
+        counts = {(r, y): [sum(s[r] == k for i, s, shaping in own if shaping and truth[i] == y) for k in range(51)] for r in q.RULES for y in (0, 1)}
+        moves, held, certified = q.path(counts), [s for i, s, shaping in own if truth[i] and not shaping], []
+        for p in range(len(moves)):
+            lost = sum(any(s[r] > k for r, k in moves[: p + 1]) for s in held)
+            if q.binomial_tail(lost, len(held), q.RISK) > q.LEVEL / len(groups):
+                break
+            certified = moves[: p + 1]
+        cuts |= {lang: certified for lang in strata}
+    expected = {i: not base and not any(s[r] > k for r, k in cuts.get(lang, [])) for i, (s, base, lang, _) in found.items()}
+    assert {r.doc_id: r.kept for r in q.apply_rules(df, labels).collect()} == expected and any(cuts.values())
 
 
 def test_chat(spark):
@@ -338,6 +444,18 @@ def test_chat(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_chat_of_many_turns(spark):
+    from tidemark.llm.chat import format_chats, read_back
+
+    rng = random.Random(3)
+    rows = [(1, i, rng.choice(["user", "assistant", "assistant"]), sentence(rng, rng.randint(0, 6)) + rng.choice(["", "é\U0001f600<|end|>"])) for i in range(6000)]
+    rows += [(2, 0, "assistant", "long " * 200_000), (2, 1, "user", "<" * 50_000)]
+    got = {r.conv_id: r for r in read_back(format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
+    for c in (1, 2):
+        assert [(t.role, t.text) for t in got[c].turns] == [r[2:] for r in rows if r[0] == c]
+        assert got[c].loss_text == "".join(r[3] for r in rows if r[0] == c and r[2] == "assistant")
+
+
 def water(sizes, weights=(5, 2, 1), most=3):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
@@ -497,6 +615,74 @@ def test_url_trees_learn(spark):
     assert free and sum((r.verdict == "block") == bool(r.page_id % 2) for r in free) / len(free) > 0.95
 
 
+def brute_boost(x, y, u):
+    """Log-odds of rows x, lists of bins, after boosting trees of depth two."""
+    n, pos = len(y), sum(y)
+    w = [n / (2 * pos) if v else n / (2 * (n - pos)) for v in y]
+    score = [0.0] * n
+
+    def split(rows, g, h):
+        best = None
+        for f in range(len(x[0])):
+            for b in range(max(r[f] for r in x)):
+                sides = [[i for i in rows if (x[i][f] <= b) == left] for left in (True, False)]
+                (gl, hl), (gr, hr) = ((sum(g[i] for i in s), sum(h[i] for i in s)) for s in sides)
+                if min(hl, hr) < u.LEAST:
+                    continue
+                gain = gl * gl / (hl + u.PENALTY) + gr * gr / (hr + u.PENALTY) - (gl + gr) ** 2 / (hl + hr + u.PENALTY)
+                if gain > 1e-6 and (best is None or gain > best[0] + 1e-9):
+                    best = gain, sides, -gl / (hl + u.PENALTY), -gr / (hr + u.PENALTY)
+        return best
+
+    for _ in range(u.ROUNDS):
+        p = [1 / (1 + math.exp(-s)) for s in score]
+        g, h = [a * (b - c) for a, b, c in zip(w, p, y)], [a * b * (1 - b) for a, b in zip(w, p)]
+        top = split(range(n), g, h)
+        if top is None:
+            break
+        for side, value in zip(top[1], top[2:]):
+            below = split(side, g, h)
+            for rows, v in zip(below[1], below[2:]) if below else [(side, value)]:
+                for i in rows:
+                    score[i] += u.RATE * v
+    return score
+
+
+def test_url_trees_against_brute_force(spark):
+    from tidemark.llm import url_filter as u
+
+    rng = random.Random(9)
+    rows = []
+    for _ in range(300):
+        y = int(rng.random() < 0.3)
+        rows.append((*(float(rng.randint(0, 5) + 2 * y * (k == 3) + (rng.random() < 0.6) * y * (k % 2)) for k in range(len(u.FEATURES))), y))
+    df = spark.createDataFrame(rows, ", ".join(f"{f} double" for f in u.FEATURES) + ", y long")
+    cuts, score = u.train(df)
+    binned = df.select(*u._bins(cuts), "y", F.monotonically_increasing_id().alias("i"))
+    got = [r.s for r in binned.selectExpr("i", f"{score} as s").orderBy("i").collect()]
+    bins = binned.orderBy("i").collect()
+    expected = brute_boost([[r[f"b_{f}"] for f in u.FEATURES] for r in bins], [r.y for r in bins], u)
+    assert max(abs(a - b) for a, b in zip(got, expected)) < 1e-6 and len(set(got)) > 5
+
+
+def test_url_filter_on_held_out_urls(spark):
+    """URLs that a rule labels, judged by a model that has not seen them."""
+    from tidemark.llm import url_filter as u
+
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    judged = u.filter_urls(pages, learn=F.expr("pmod(hash(url), 5) <> 0")).where("rule is not null and pmod(hash(url), 5) = 0")
+    right = judged.groupBy("verdict").agg(F.avg(((F.col("block_score") >= 0.5) == (F.col("verdict") == "block")).cast("double")), F.count(F.lit(1))).collect()
+    assert {r[0] for r in right} == {"allow", "block"} and all(r[1] > 0.8 and r[2] > 30 for r in right)
+
+
+def test_url_filter_on_very_long_urls(spark):
+    from tidemark.llm.url_filter import filter_urls
+
+    urls = ["http://a.com/" + "x/" * 50_000, "http://" + "sub." * 50_000 + "net/es/?" + "a=1&" * 50_000, "http://b.com/", "no scheme " * 20_000]
+    got = {r.page_id: r for r in filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert got[0].rule == "com/" and got[1].rule == "net/es/" and got[0].path == "/" + "x/" * 50_000 and (got[3].host, got[3].path, got[3].rule) == ("", "", None)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body><header><h2>Site</h2></header><nav><ul><li><a href="/x">menu {0}</a></li></ul></nav>
 <div class="cookie-notice">We use cookies</div><{1}><h1>Title {0} &amp; more</h1><p>First <b>bold</b>ly {0}.<br>Second&nbsp;line  of
 text<p>Unclosed &lt;tag&gt; text {0}</p><aside>see also</aside><form><input name="q"><p>search</p></form><div class="ad">buy</div><ul><li>one<li>two</ul></{1}><div id="comments"><p>reader says {0}</p></div><footer>&copy; end</footer>{2}"""
@@ -554,6 +740,90 @@ def test_html_keeps_every_slot(spark):
     assert text_of(f"<p class=lead>{lead}</p><p>{rest}</p>", None) == f"{lead} {rest}"
 
 
+class _Blocks(__import__("html.parser").parser.HTMLParser):
+    """Blocks (path, text) of well-formed pages of div, section, p and li elements, and their paths."""
+
+    def __init__(self, source):
+        super().__init__()
+        self.open, self.blocks, self.paths = [], [], []
+        self.feed(source)
+
+    def handle_starttag(self, tag, attrs):
+        self.open.append(tag + "".join(f".{v}" for k, v in attrs if k == "class"))
+        self.paths.append("/".join(self.open))
+
+    def handle_endtag(self, tag):
+        self.open.pop()
+
+    def handle_data(self, data):
+        if data.split():
+            self.blocks.append(("/".join(self.open), " ".join(data.split())))
+
+
+def test_html_templates_against_brute_force(spark):
+    from tidemark.llm import html_extract as h
+
+    rng = random.Random(7)
+    pages = []
+    for host in range(6):
+        n, boxes = rng.choice([3, 9, 20]), [f"x{rng.randrange(99)}" for _ in range(4)]
+        said = [sentence(rng, rng.randint(1, 5)) for _ in range(4)]
+        for i in range(n):
+            parts = [f"<div class={c}><p>{t if rng.random() < 0.95 else 'odd'}</p></div>" for c, t in zip(boxes, said) if rng.random() < 0.9]
+            parts += [f"<section><p>{sentence(rng, rng.randint(1, 9), 9)}</p>" + f"<p>{said[0]}</p>" * rng.randint(0, 2) + "</section>" for _ in range(rng.randint(0, 3))]
+            rng.shuffle(parts)
+            pages.append((len(pages), f"http://h{host}.org/{i}", "<html>" + "".join(parts) + "</html>"))
+    expected = {}
+    for host in {u.split("/")[2] for _, u, _ in pages}:
+        own = [(i, _Blocks(s)) for i, u, s in pages if u.split("/")[2] == host]
+        tokens = {t for _, b in own for t in [*b.blocks, *((p, None) for p in b.paths)]}
+        vector = {t: tuple(b.blocks.count(t) if t[1] else b.paths.count(t[0]) for _, b in own) for t in tokens}
+        classes = collections.defaultdict(list)
+        for t, v in vector.items():
+            classes[v].append(t)
+        fixed = set()
+        for v, members in classes.items():
+            there = [x for x in v if x]
+            words = sum(len(t[1].split()) if t[1] else 1 for t in members)
+            if len(own) >= h.LEAST_PAGES and len(set(there)) == 1 and 2 * len(there) >= len(own) and words >= 2:
+                fixed |= set(members)
+        for i, b in own:
+            slots = [t for p, t in b.blocks if (p, t) not in fixed]
+            expected[i] = " ".join(slots or [t for _, t in b.blocks])
+    got = {r.page_id: r.text for r in h.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == expected and any(len(got[i]) < sum(len(t) + 1 for _, t in _Blocks(s).blocks) - 1 for i, _, s in pages)
+
+
+def test_html_menus_by_links_and_names(spark):
+    from tidemark.llm.html_extract import extract_text, text_of
+
+    def source(i):
+        menu = "".join(f"<li><a href=/{i}{k}>go {i} {k}</a></li>" for k in range(5))
+        return f"<body><div class=q1><ul>{menu}</ul></div><div class=q2><p>body {i} <a href=x>link {i}</a> and words {i} {i} {i}</p><p class=social-history>told {i}</p><p><a href=y>all of it {i}</a></p></div></body>"
+
+    rows = [(i, f"http://h.org/{i}", source(i)) for i in range(9)]
+    rows.append(rows[0])  # a repeated row counts as a page, it cancels nothing
+    got = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 10 and all(r.text == f"body {r.page_id} link {r.page_id} and words {r.page_id} {r.page_id} {r.page_id} told {r.page_id} all of it {r.page_id}" for r in got)
+    kept = '<article><p class="social-history">a</p><div class="promo-code">b</div><div id="header-image-credits">c</div></article>'
+    assert text_of(kept, None) == "a b c"
+    gone = "".join(f'<div class="{c}">x</div>' for c in ("ad", "story ad", "cookie-notice", "side-bar", "sidebar_left", "comments-list", "share-buttons", "site-header", "ad-box-3"))
+    assert text_of(gone + "<p>t</p>", None) == "t"
+
+
+def test_html_takes_time_in_proportion():
+    import time
+
+    from tidemark.llm.html_extract import _page_tokens, parse, text_of
+
+    sources = ["<p>x</p>" * 100_000, "<div>" * 100_000 + "x", "<span class=ad>" + "<b>" * 50_000 + "</i>" * 50_000, "<a " * 100_000 + '"', "<td>" + "<x>" * 50_000 + "<h1>" * 50_000, "</x>" * 100_000, '<a href="' * 50_000]
+    for source in sources:
+        began = time.process_time()
+        assert len(text_of(source, {1})) in (0, 1, 199_999)
+        _page_tokens(parse(source))
+        assert time.process_time() - began < 20, source[:20]
+
+
 def test_html_odd_sources():
     from tidemark.llm.html_extract import text_of
 
