@@ -229,6 +229,34 @@ def test_ngram_jaccard_of_families_and_common_passages(spark, seed, monkeypatch)
     assert {r.doc_id: r.component_id for r in j.similar_groups(df).collect()} == brute_components(rows)
 
 
+@pytest.mark.parametrize("swap", [False, True])
+def test_ngram_jaccard_of_one_id_with_several_texts(spark, swap):
+    from tidemark.llm.ngram_jaccard import similar_groups
+
+    rng = random.Random(21)
+    x, y, u, v = (sentence(rng, 40, 900) for _ in range(4))
+    if swap:
+        x, y = max(x, y), min(x, y)
+    else:
+        x, y = min(x, y), max(x, y)
+    rows = [(1, x), (1, y), (2, y + " more"), (5, u), (4, u), (5, v), (7, v + " more"), (8, x + " else"), (None, x), (9, None), (9, v)]
+    got = {(r.doc_id, r.component_id) for r in similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {(1, 1), (2, 1), (8, 1), (4, 4), (5, 4), (7, 4), (9, 4), (None, None)}
+
+
+def test_signatures_of_less_similar_sets():
+    import numpy as np
+
+    from tidemark.llm.ngram_jaccard import signatures
+
+    rng = np.random.default_rng(6)
+    for n in (5, 40, 3000):
+        a = rng.choice(1 << 62, n, replace=False).astype(np.uint64)
+        b = np.concatenate([a[: n * 3 // 4], rng.choice(1 << 62, n // 4).astype(np.uint64)])
+        who, sig = signatures([np.sort(a), np.sort(b)], 50)
+        assert set(sig[who == 0]) & set(sig[who == 1])
+
+
 def test_signatures_are_shared_by_all_similar_sets():
     import numpy as np
 

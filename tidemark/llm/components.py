@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.store import save
 
-MAX_ROUNDS = 60
-
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -34,14 +32,10 @@ def components(edges: DataFrame) -> DataFrame:
     """
     e = save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = _digest(e)
-    for _ in range(MAX_ROUNDS):
-        if not before[0]:
-            break
+    while before[0]:
         e = save(_small_star(_large_star(e)).where("a <> b").distinct(), "edges")
         after = _digest(e)
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError("components did not settle")
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

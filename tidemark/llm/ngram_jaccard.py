@@ -13,9 +13,10 @@ exactly; a set that could be broken by fewer than the bound allows signs again
 under further partitionings of the domain until one is proof. Of two similar
 sets both sign up to the one that is proof for either, so no pair is lost.
 
-Equal sets have one node. Signatures travel packed, 12 bytes each, in one row to
-a slice of documents and bucket, so one common signature is not one hot key. A
-signature of up to SMALL nodes yields all its pairs, a larger one a star. Pairs
+Equal sets, by 128 bits of digest and their size, have one node, which stands for its
+smallest document. Signatures travel packed, 12 bytes each, in one row to a slice of
+documents and bucket, so one common signature is not one hot key; buckets are gone
+through one by one. A signature of up to SMALL nodes yields all its pairs, a larger one a star. Pairs
 whose profiles, counts of features by bucket, show too great a difference are
 dropped and the others verified on whole texts. Once the components of the
 verified pairs are known, larger signatures with more than one are gone through
@@ -25,11 +26,14 @@ components is so compared; copies are never expanded into pairs.
 
 Null and empty texts have an empty set and no links. A document with fewer words
 than a shingle has its whole word sequence as one feature. A null doc_id gets a
-row but no links. Rows that repeat a doc_id with other texts link through it.
+row but no links. Rows that repeat a doc_id with other texts link through it, as
+each text has a node of its own and the nodes of one document are one class. Ties
+between documents go to the smaller id; very long texts are signed whole.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +52,6 @@ RATIO = 1.6
 SMALL = 6
 #: Documents of a block where those of large signatures are compared.
 BLOCK = 1024
-MAX_SEEDS = 64
 #: Buckets of a set's profile.
 PROFILE = 256
 _U = np.uint64
@@ -70,9 +73,10 @@ def shingles_of(w: tx.Words, k: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def digest(s: np.ndarray) -> int:
-    """Of a whole set, signed 64-bit."""
-    return int(tx.mix(np.array([tx.mix(s, 21).sum(dtype=_U) + _U(len(s))]), 22).view(np.int64)[0])
+def digest(s: np.ndarray) -> tuple[int, int]:
+    """Of a whole set, two independent numbers of 64 bits, signed."""
+    sums = [tx.mix(s, seed).sum(dtype=_U) + _U(len(s)) for seed in (21, 23)]
+    return tuple(tx.mix(np.array(sums), 22).view(np.int64).tolist())
 
 
 def profile(s: np.ndarray) -> bytes:
@@ -109,12 +113,13 @@ def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarr
     who = np.concatenate([own, visits])
     band = np.concatenate([home[own], home[visits] + 1])
     out_who, out_sig = [], []
-    for seed in range(MAX_SEEDS):
+    for seed in itertools.count():
         if not len(who):
             break
         top = limits[band + 1] - 1
         most = _most_different(size[who], top, percent)
-        groups = (top * 0.12).astype(np.int64) * (100 - percent) // 20 + 2
+        # enough that a set with features in two partitions of nearly every group is proof
+        groups = (_most_different(top, top, percent) * 0.54).astype(np.int64) + 2
         base = np.cumsum(np.append(0, groups * 3))
         h = np.concatenate([sets[i] for i in who])
         of = np.repeat(np.arange(len(who)), size[who])
@@ -129,7 +134,7 @@ def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarr
         total = (low + (high << _U(32))).reshape(-1, 3)
         owner = np.repeat(np.arange(len(who)), groups)
         number = np.arange(len(owner)) - (base[:-1] // 3)[owner]
-        tag = tx.mix((band[owner].astype(_U) << _U(40)) + (number.astype(_U) << _U(8)) + _U(seed), 51)
+        tag = tx.mix((band[owner].astype(_U) << _U(48)) + (number.astype(_U) << _U(16)) + _U(seed), 51)
         for j, (p, q) in enumerate(((0, 1), (0, 2), (1, 2))):
             used = n[:, p] + n[:, q] > 0
             out_sig.append(tx.mix(total[used, p] + total[used, q] + tag[used] + _U(j * 0x632BE59BD9B4E019), 52))
@@ -137,8 +142,6 @@ def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarr
         broken_by = np.bincount(owner, weights=np.minimum((n > 0).sum(axis=1), 2), minlength=len(who))
         weak = broken_by <= most
         who, band = who[weak], band[weak]
-    else:
-        raise RuntimeError("a set stayed without proof signatures")
     if not out_who:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=_U)
     return np.concatenate(out_who), np.concatenate(out_sig)
@@ -147,11 +150,12 @@ def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarr
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = tx.texts_in(batch), batch.column(batch.schema.get_field_index("doc_id"))
+            texts, own = tx.texts_in(batch), [batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "copy")]
             for i, j in tx.slices(texts):
                 sets = shingles_of(tx.words_of(texts[i:j], lower=True), k)
-                cols = [ids.slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.int64()), pa.array([profile(s) for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "node", "profile"])
+                names = [digest(s) for s in sets]
+                cols = [*(c.slice(i, j - i) for c in own), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([d[x] for d in names], pa.int64()) for x in (0, 1)), pa.array([profile(s) for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "copy", "n_shingles", "node", "more", "profile"])
 
     return run
 
@@ -179,8 +183,8 @@ def _packed(k: int, percent: int, buckets: int):
                 if not sets:
                     continue
                 who, sig = signatures([s for _, s in sets], percent)
-                node = (np.array([d for d, _ in sets], dtype=np.int64).view(_U) & _LOW48)[who]
-                bucket = ((sig >> _U(48)) * _U(buckets) >> _U(16)).astype(np.uint16)
+                node = (np.array([d[0] for d, _ in sets], dtype=np.int64).view(_U) & _LOW48)[who]
+                bucket = ((sig >> _U(40)) * _U(buckets) >> _U(24)).astype(np.uint32)
                 order = np.argsort(bucket, kind="stable")
                 sig, node, bucket = sig[order], node[order], bucket[order]
                 cut = np.flatnonzero(np.diff(bucket)) + 1
@@ -197,16 +201,22 @@ def _packed(k: int, percent: int, buckets: int):
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, shared) with a < b, and members (sig, a) of large signatures with null b."""
-    sigs, nodes = [], []
+    """Pairs (a, b, shared) with a < b, and members (sig, a) of large signatures with null b; rows are sorted by bucket."""
+    now, sigs, nodes = None, [], []
     for batch in batches:
         for bucket, s, n in zip(*(tx.column(batch, c) for c in ("bucket", "sigs", "nodes")), strict=True):
-            sigs.append(_eight(s) | _U(bucket << 48))
+            if bucket != now and sigs:
+                yield from _met(now, np.concatenate(sigs), np.concatenate(nodes))
+                sigs, nodes = [], []
+            now = bucket
+            sigs.append(_eight(s))
             nodes.append(_eight(n))
-    if not sigs:
-        return
-    sig, node = np.concatenate(sigs), np.concatenate(nodes)
-    sigs.clear(), nodes.clear()
+    if sigs:
+        yield from _met(now, np.concatenate(sigs), np.concatenate(nodes))
+
+
+def _met(bucket: int, sig: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Of one bucket, whose signatures are told apart by their lower 48 bits."""
     order = np.argsort(sig, kind="stable")
     sig, node = sig[order], node[order]
     # keep signatures of several entries, then drop repeated nodes
@@ -240,7 +250,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names=["sig", "a", "b", "shared"],
     )
     if len(member):
-        yield pa.RecordBatch.from_arrays([tx.signed(sig[member]), pa.array(node[member].astype(np.int64)), pa.nulls(len(member), pa.int64()), pa.nulls(len(member), pa.int64())], names=["sig", "a", "b", "shared"])
+        name = tx.mix(sig[member] ^ (_U(bucket) << _U(40)), 53)
+        yield pa.RecordBatch.from_arrays([tx.signed(name), pa.array(node[member].astype(np.int64)), pa.nulls(len(member), pa.int64()), pa.nulls(len(member), pa.int64())], names=["sig", "a", "b", "shared"])
 
 
 def _possible(percent: int):
@@ -254,19 +265,19 @@ def _possible(percent: int):
                 a, b = (np.frombuffer(b"".join(tx.column(part, c)), dtype=np.uint8).reshape(-1, PROFILE).astype(np.int16) for c in ("pa", "pb"))
                 size = part.column(part.schema.get_field_index("na")).to_numpy() + part.column(part.schema.get_field_index("nb")).to_numpy()
                 kept = np.append(kept, (100 + percent) * np.abs(a - b).sum(axis=1, dtype=np.int64) <= (100 - percent) * size)
-            yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b", "shared"])
+            yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "copy_a", "b", "copy_b", "shared"])
 
     return run
 
 
 def _verify(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int | None, np.ndarray | None] = (None, None)
+        last: tuple[tuple[int, int] | None, np.ndarray | None] = (None, None)
         for batch in batches:
-            a, b = tx.column(batch, "a"), tx.column(batch, "b")
+            b = list(zip(tx.column(batch, "b"), tx.column(batch, "copy_b"), strict=True))
             left, right = tx.texts_in(batch, "text_a"), tx.texts_in(batch, "text_b")
             kept = []
-            for x in range(len(a)):
+            for x in range(len(b)):
                 if last[0] != b[x]:
                     last = b[x], shingles_of(tx.words_of([right[x]], lower=True), k)[0]
                 mine = shingles_of(tx.words_of([left[x]], lower=True), k)[0]
@@ -338,17 +349,17 @@ def _in_blocks(inside: DataFrame) -> DataFrame:
 
 
 def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) of document ids that are similar."""
-    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    full = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return save(full.select("a", "b", "text_a", "text_b").mapInArrow(_verify(k, percent), "a long, b long"), "links")
+    """Those pairs (a, copy_a, b, copy_b) of texts that are similar, as pairs (a, b) of document ids."""
+    of = lambda x: texts.select(F.col("doc_id").alias(x), F.col("copy").alias(f"copy_{x}"), F.col("text").alias(f"text_{x}"))
+    full = pairs.join(of("a"), ["a", "copy_a"]).join(of("b"), ["b", "copy_b"])
+    return save(full.select("a", "b", "copy_b", "text_a", "text_b").mapInArrow(_verify(k, percent), "a long, b long").distinct(), "links")
 
 
 def _open(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs whose ends are not in one component yet."""
     c = lambda x: comps.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
     own = lambda x: F.coalesce(f"c{x}", F.col(x))
-    return pairs.join(c("a"), "a", "left").join(c("b"), "b", "left").where(own("a") != own("b")).select("a", "b")
+    return pairs.join(c("a"), "a", "left").join(c("b"), "b", "left").where(own("a") != own("b")).select(*pairs.columns)
 
 
 def _residual(members: DataFrame, nodes: DataFrame, comps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -358,16 +369,22 @@ def _residual(members: DataFrame, nodes: DataFrame, comps: DataFrame, texts: Dat
     with the same largest component, so that a document is compared once for all of them:
     first by profiles, then, where these leave a link possible, exactly.
     """
-    own = save(members.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "members")
+    own = save(members.drop("n_shingles").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "members")
     parts = own.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
     family = parts.groupBy("sig").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("family"), (F.count(F.lit(1)) > 1).alias("open")).where("open")
-    inside = save(own.join(family, "sig").select("family", "doc_id", "component").distinct(), "families")
-    profiles = nodes.select(F.col("rep").alias("doc_id"), "n_shingles", "profile")
-    hopeful = save(_in_blocks(inside).join(profiles, "doc_id").groupBy("family", "x", "y").applyInArrow(_hopeful(percent), "family long, doc_id long").distinct(), "hopeful")
-    placed = _in_blocks(inside.join(hopeful, ["family", "doc_id"])).join(texts, "doc_id").select("family", "x", "y", "side", "doc_id", "component", "text")
+    inside = save(own.join(family, "sig").select("family", "doc_id", "copy", "component").distinct(), "families")
+    profiles = nodes.select(F.col("rep").alias("doc_id"), "copy", "n_shingles", "profile")
+    hopeful = save(_in_blocks(inside).join(profiles, ["doc_id", "copy"]).groupBy("family", "x", "y").applyInArrow(_hopeful(percent), "family long, doc_id long").distinct(), "hopeful")
+    placed = _in_blocks(inside.join(hopeful, ["family", "doc_id"])).join(texts, ["doc_id", "copy"]).select("family", "x", "y", "side", "doc_id", "component", "text")
     return save(placed.groupBy("family", "x", "y").applyInArrow(_across(k, percent), "a long, b long").distinct(), "late")
 
 
+def _of_one_id(keyed: DataFrame, several: DataFrame, nodes: DataFrame, name: list[str]) -> DataFrame:
+    """Pairs (a, b) of the documents that stand for the different texts of one doc_id."""
+    reps = keyed.join(several, "doc_id").select("doc_id", *name).distinct().join(nodes.select(*name, "rep"), name)
+    return reps.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+
+
 def similar_groups(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, links_used) for each row of ``docs``.
 
@@ -376,36 +393,41 @@ def similar_groups(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> D
     to join the component, not those within it that were left untested.
     """
     spark: SparkSession = docs.sparkSession
-    slim = docs.select("doc_id", "text")
-    rows = save(slim.mapInArrow(_sets(k), "doc_id long, n_shingles long, node long, profile binary"), "sets")
+    copy = F.expr("cast(xxhash64(text) & 2147483647 as int)").alias("copy")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), copy, "text")
+    rows = save(slim.mapInArrow(_sets(k), "doc_id long, copy int, n_shingles long, node long, more long, profile binary"), "sets")
     keyed = rows.where("doc_id is not null and n_shingles > 0")
-    nodes = save(keyed.groupBy("node", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("profile").alias("profile")), "nodes").withColumn("low", F.expr("node & 281474976710655"))
+    name = ["node", "more", "n_shingles"]
+    nodes = save(keyed.groupBy(*name).agg(F.min("doc_id").alias("rep"), F.min_by("copy", "doc_id").alias("copy"), F.first("profile").alias("profile")), "nodes").withColumn("low", F.expr("node & 281474976710655"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(max(64, 4 * tasks), 1 << 16)
+    buckets = min(max(64, 4 * tasks), 1 << 24)
     packed = slim.where("doc_id is not null").mapInArrow(_packed(k, percent, buckets), "bucket int, sigs binary, nodes binary")
-    met = save(packed.repartition(tasks, "bucket").mapInArrow(_meet, "sig long, a long, b long, shared long"), "met")
+    met = save(packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "sig long, a long, b long, shared long"), "met")
 
-    def of(x: str, *columns: str) -> DataFrame:
-        return nodes.select(F.col("low").alias(x), *(F.col(c).alias(f"{c[0]}{x}") for c in columns))
+    def of(x: str) -> DataFrame:
+        return nodes.select(F.col("low").alias(x), F.col("rep").alias(f"r{x}"), F.col("copy").alias(f"c{x}"), F.col("n_shingles").alias(f"n{x}"))
 
-    pairs = met.where("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared")).join(of("a", "rep", "n_shingles"), "a").join(of("b", "rep", "n_shingles"), "b")
-    pairs = pairs.where(f"ra <> rb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").selectExpr("least(ra, rb) as a", "greatest(ra, rb) as b", "if(ra < rb, na, nb) as na", "if(ra < rb, nb, na) as nb", "shared")
-    pairs = save(pairs, "sized")
+    pairs = met.where("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared")).join(of("a"), "a").join(of("b"), "b")
+    pairs = pairs.where(f"ra <> rb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    ends = (f"{f}(ra, rb) as {x}" if p == "r" else f"if(ra < rb, {p}{x}, {p}{y}) as {c}{x}" for p, c in (("r", ""), ("c", "copy_"), ("n", "n")) for x, y, f in (("a", "b", "least"), ("b", "a", "greatest")))
+    pairs = save(pairs.selectExpr(*ends, "shared"), "sized")
 
     def profiled(x: str) -> DataFrame:
-        return nodes.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("profile").alias(f"p{x}"))
+        return nodes.select(F.col("rep").alias(x), F.col("copy").alias(f"copy_{x}"), F.col("n_shingles").alias(f"n{x}"), F.col("profile").alias(f"p{x}"))
 
-    pairs = pairs.join(profiled("a"), ["a", "na"]).join(profiled("b"), ["b", "nb"]).select("a", "b", "na", "nb", "pa", "pb", "shared")
-    pairs = save(pairs.mapInArrow(_possible(percent), "a long, b long, shared long"), "pairs")
-    members = save(met.where("b is null").select("sig", F.col("a").alias("low")).join(nodes.select("low", F.col("rep").alias("doc_id"), "n_shingles"), "low").drop("low"), "members")
-    known = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(members.select("doc_id")).distinct()
-    texts = save(slim.join(known, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
+    pairs = pairs.join(profiled("a"), ["a", "copy_a", "na"]).join(profiled("b"), ["b", "copy_b", "nb"]).select("a", "copy_a", "b", "copy_b", "na", "nb", "pa", "pb", "shared")
+    pairs = save(pairs.mapInArrow(_possible(percent), "a long, copy_a int, b long, copy_b int, shared long"), "pairs")
+    members = save(met.where("b is null").select("sig", F.col("a").alias("low")).join(nodes.select("low", F.col("rep").alias("doc_id"), "copy", "n_shingles"), "low").drop("low"), "members")
+    known = pairs.select(F.col("a").alias("doc_id"), F.col("copy_a").alias("copy")).union(pairs.select("b", "copy_b")).union(members.select("doc_id", "copy")).distinct()
+    texts = save(slim.join(known, ["doc_id", "copy"]).groupBy("doc_id", "copy").agg(F.max("text").alias("text")), "texts")
 
     # each document first meets the one it shares most signatures with
-    best = save(pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b"), "best")
+    first = F.max_by(F.struct("copy_a", "a", "copy_b"), F.struct("shared", -F.col("a"))).alias("best")
+    best = save(pairs.groupBy("b").agg(first).select("best.a", "best.copy_a", "b", "best.copy_b"), "best")
     links = _links(best, texts, k, percent)
-    comps = components(links)
-    rest = _links(_open(pairs.select("a", "b"), comps).distinct(), texts, k, percent)
+    several = save(rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("doc_id"), "several")
+    comps = components(links.unionByName(_of_one_id(keyed, several, nodes, name)))
+    rest = _links(_open(pairs.drop("shared"), comps).distinct(), texts, k, percent)
     links = links.unionByName(rest)
     if not rest.isEmpty():
         comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest))
@@ -417,6 +439,11 @@ def similar_groups(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> D
 
     found = links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count(F.lit(1)).alias("links_used"))
     classes = nodes.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").join(found, "rep", "left")
-    classes = classes.select("node", "n_shingles", F.coalesce("component", "rep").alias("component"), F.coalesce("links_used", F.lit(0)).alias("links_used"))
-    joined = rows.drop("profile").join(classes, ["node", "n_shingles"], "left")
-    return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"), F.coalesce("links_used", F.lit(0)).cast("long").alias("links_used"))
+    classes = classes.select(*name, F.coalesce("component", "rep").alias("component"), F.coalesce("links_used", F.lit(0)).alias("links_used"))
+    joined = rows.drop("profile", "copy").join(classes, name, "left")
+    joined = joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"), F.coalesce("links_used", F.lit(0)).cast("long").alias("links_used"))
+    if several.isEmpty():
+        return joined
+    # rows without a shingle belong with their document's others
+    least = joined.join(several, "doc_id").groupBy("doc_id").agg(F.min("component_id").alias("least"))
+    return joined.join(least, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("least", "component_id").alias("component_id"), "links_used")
