@@ -9,20 +9,27 @@ dish's first customers they are seated in blocks of a tenth of those seated, wit
 the probabilities at the block's start. The tables of all contexts are the
 parent's customers: it starts with the tokens themselves, and after each of
 PARENT_SWEEPS passes over the contexts takes the tables seated there, on average.
+The parent's own tables are seated the same way, all dishes at once given their sum.
 Predictive probabilities are averaged over the last pass's sweeps but the first.
-
-The exchanges are linear in the text and gather exact numbers for every word:
-occurrences go to buckets of contexts, once to count, once to seat and once to
-score them. Rows are packed, one to a slice of documents and bucket, so that a
-common word is a run inside many rows rather than a hot key. A bucket of contexts
-asks for each of its dishes once, by range of words, with its counts or tables;
-ranges sum them over all buckets to the parent, and answer each request with the
-exact number of training tokens and the parent's share of every dish. Only sums
-over the whole parent reach the driver. What scoring gives back is a sum for each
-document and bucket.
+All draws come from hashes of context, dish, sweep and customer, so that scores do
+not depend on how rows are dealt out.
+
+The exchanges are linear in the text and gather exact numbers for every word. Words
+are counted first, by range, each slice of documents sending each of its words once.
+Occurrences then go to buckets of contexts, once to ask for what is known of their
+dishes, once to seat and once to score them. Rows are packed, one to a slice of
+documents and bucket. A context with more than one in HOT_SHARE of all tokens (no
+more than so many can be) is split over all buckets by dish; its customers are the
+count of its word, and its tables are summed over buckets after each pass. A bucket
+asks for each of its dishes once, by range of words, and ranges answer with the exact
+number of training tokens and the parent's share of every dish. Only sums over the
+whole parent and the hot contexts reach the driver. What scoring gives back is a sum
+for each document and bucket.
 
 Null texts count as empty: one end token. A null doc_id is scored and, unless
 ``held`` is true, trained on. Each repeated row counts in training and is scored.
+A very long text is a slice of its own, ties have no meaning here. With nothing to
+learn from every word has the base's probability.
 """
 
 from __future__ import annotations
@@ -43,12 +50,14 @@ from tidemark.llm.store import discard, save
 DISCOUNT, STRENGTH, PARENT_STRENGTH = 0.8, 2.0, 1.0
 BURN_IN, SWEEPS = 2, 4
 PARENT_SWEEPS = 1
-#: Ranges of words at most; requests and answers are rows by bucket of contexts and range.
-RANGES = 1 << 12
+#: Contexts that are split by dish: those with more than one in so many training tokens, and this many at least.
+HOT_SHARE, HOT_LEAST = 1 << 12, 1000
 SEED = 7
 #: Bounds of a slice: documents (their numbers take two bytes), and bytes of text.
 ROWS, SLICE_BYTES = 2048, 2 << 20
 SINGLE = 24
+#: Above this variance a block's new tables are drawn as a rounded normal number.
+NORMAL = 25.0
 _U = np.uint64
 _END, _BEGIN = (tx.mix(np.array([n], dtype=_U), 81)[0] for n in (1, 2))
 
@@ -73,7 +82,7 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
 
 
 _PACKED = "bucket int, slice long, held binary, ids binary, sizes binary, contexts binary, runs binary, docs binary, words binary"
-#: Of a bucket of contexts to a range of words: its dishes, training tokens of each, and SWEEPS times its tables (null: as tokens).
+#: To a range of words: some words, and training tokens of each or SWEEPS times its tables. Range -1: numbers of hot contexts and their tables.
 _ASK = "range int, bucket int, words binary, counts binary, tables binary"
 #: A range of the parent: its words, training tokens and customers, and their sums.
 _PARENT = "range int, words binary, counts binary, customers binary, tokens long, kinds long, once long, twice long, seated double"
@@ -98,8 +107,49 @@ def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kinds[t]) for c, (_, t) in enumerate(fields)], names=[n for n, _ in fields])
 
 
-def _pack(buckets: int):
-    """Rows of contexts, with the words behind them, by bucket of the context."""
+def _ranges(words: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each range begins among sorted words of 56 bits."""
+    return np.searchsorted((words >> _U(56 - (ranges.bit_length() - 1))).astype(np.int64), np.arange(ranges + 1))
+
+
+def _requests(bucket: int, words: np.ndarray, ranges: int, counts: np.ndarray | None, tables: np.ndarray | None) -> list[tuple]:
+    """A row to each range for sorted words."""
+    cut, own = _ranges(words, ranges), _bytes(words, 7)
+    part = lambda v, a, b: None if v is None else v[a:b].astype("<u4").tobytes()
+    return [(r, bucket, own[a:b].tobytes(), part(counts, a, b), part(tables, a, b)) for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+
+
+def _count(ranges: int):
+    """Training tokens of each word of a slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, held, w in _slices(batches):
+            learn = np.repeat(~held, np.diff(w.offsets))
+            words = np.append(w.hashes[learn], np.full(int((~held).sum()), _END)) >> _U(8)
+            words, n = np.unique(words, return_counts=True)
+            yield _table(_requests(0, words, ranges, n, None), _ASK)
+
+    return run
+
+
+@dataclass
+class Hot:
+    """Contexts split by dish, sorted, with their customers and tables."""
+
+    contexts: np.ndarray
+    customers: np.ndarray
+    tables: np.ndarray
+
+    def among(self, contexts: np.ndarray) -> np.ndarray:
+        """Numbers of hot contexts, -1 for others."""
+        if not len(self.contexts):
+            return np.full(len(contexts), -1)
+        at = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
+        return np.where(self.contexts[at] == contexts, at, -1)
+
+
+def _pack(buckets: int, hot: Hot):
+    """Rows of contexts, with the words behind them, by bucket of the context, or of context and word where it is hot."""
     shift = _U(56 - (buckets.bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,10 +158,13 @@ def _pack(buckets: int):
             word = np.insert(w.hashes, w.offsets[1:], _END) >> _U(8)
             doc = np.repeat(np.arange(len(ids)), size)
             key = np.insert(w.hashes, w.offsets[:-1], _BEGIN) >> _U(8)
-            order = np.argsort(key, kind="stable")
-            key, docs = key[order], doc[order].astype("<u2")
-            first = _runs(key)
-            at = np.searchsorted((key >> shift).astype(np.int64), np.arange(buckets + 1))
+            bucket = key >> shift
+            split = hot.among(key) >= 0
+            bucket[split] = (tx.mix(key[split] + tx.mix(word[split], 83), 84) >> _U(8)) >> shift
+            order = np.argsort((bucket << _U(48)) + (key & _U((1 << 48) - 1)), kind="stable")
+            key, bucket, docs = key[order], bucket[order], doc[order].astype("<u2")
+            first = _runs(bucket, key)
+            at = np.searchsorted(bucket.astype(np.int64), np.arange(buckets + 1))
             at_run = np.searchsorted(first, at)
             keys, run_n = _bytes(key[first], 7), np.diff(np.append(first, len(key))).astype("<u4")
             words = _bytes(word[order], 7)
@@ -161,7 +214,7 @@ def _replies(rows: list[dict], lengths: list[int], doc: np.ndarray, score: np.nd
         # numbers of known words are as wide as the largest needs
         width = "<u1" if not n or sums[2].max() < 1 << 8 else "<u4"
         held = r["held"] if r["ids"] is not None else None
-        out.append((r["slice"], r["bucket"], r["ids"], r["sizes"], held, there.astype("<u2").tobytes(), sums[0].astype("<f4").tobytes(), sums[1].astype("<f8").tobytes(), sums[2].astype(width).tobytes()))
+        out.append((r["slice"], r["bucket"], r["ids"], r["sizes"], held, there.astype("<u2").tobytes(), sums[0].astype("<f8").tobytes(), sums[1].astype("<f8").tobytes(), sums[2].astype(width).tobytes()))
         at += n
     return out
 
@@ -172,16 +225,17 @@ def _held(r: dict) -> np.ndarray:
 
 @dataclass
 class Parent:
-    """Sums over the restaurant of single words; its dishes have one table each, as the base is uniform."""
+    """Sums over the restaurant of single words."""
 
     tokens: int
     vocabulary: int
     discount: float
     customers: float
+    tables: float
 
     def probability(self, share: np.ndarray) -> np.ndarray:
-        """Of dishes whose customers, less the discount, are ``share``."""
-        base = (PARENT_STRENGTH + self.discount * self.vocabulary) / (self.vocabulary + 1)
+        """Of dishes whose customers, less the discount of their tables, are ``share``."""
+        base = (PARENT_STRENGTH + self.discount * self.tables) / (self.vocabulary + 1)
         return (share + base) / (PARENT_STRENGTH + self.customers)
 
 
@@ -189,7 +243,41 @@ def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once and twice else 0.5
 
 
-def seat(c: np.ndarray, tables_there: np.ndarray, p0: np.ndarray, rng: np.random.Generator, d: float = DISCOUNT, strength: float = STRENGTH) -> np.ndarray:
+class Draws:
+    """Random numbers of cells, each from the cell's own key, the sweep and the customer."""
+
+    def __init__(self, keys: np.ndarray, number: int):
+        self.keys, self.base = keys.astype(_U), (SEED << 56) + (number << 48)
+
+    def sweep(self, n: int) -> Draws:
+        drawn = Draws(self.keys, 0)
+        drawn.base = self.base + (n << 40)
+        return drawn
+
+    def uniform(self, cells: np.ndarray, customer: int, more: int = 0) -> np.ndarray:
+        salt = _U(((self.base + (customer << 8) + more) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
+        return ((tx.mix(self.keys[cells] ^ salt, 85) >> _U(11)).astype(np.float64) + 0.5) / (1 << 53)
+
+    def binomial(self, cells: np.ndarray, n: np.ndarray, p: np.ndarray, customer: int) -> np.ndarray:
+        """Successes in n trials: exact by gaps between them, a rounded normal number where there are many."""
+        turned = p > 0.5
+        q = np.where(turned, 1 - p, p)
+        out, spread = np.zeros(len(cells)), n * q * (1 - q)
+        many = np.flatnonzero(spread > NORMAL)
+        if len(many):
+            a, b = (self.uniform(cells[many], customer, more) for more in (254, 255))
+            z = np.sqrt(-2 * np.log(a)) * np.cos(2 * np.pi * b)
+            out[many] = np.clip(np.rint(n[many] * q[many] + np.sqrt(spread[many]) * z), 0, n[many])
+        left, at, more = np.flatnonzero((spread <= NORMAL) & (q > 0)), np.zeros(len(cells)), 0
+        while len(left):
+            at[left] += np.floor(np.log(self.uniform(cells[left], customer, more % 254)) / np.log1p(-q[left])) + 1
+            left = left[at[left] <= n[left]]
+            out[left] += 1
+            more += 1
+        return np.where(turned, n - out, out)
+
+
+def seat(c: np.ndarray, tables_there: np.ndarray, p0: np.ndarray, draws: Draws, d: float = DISCOUNT, strength: float = STRENGTH) -> np.ndarray:
     """Tables of each dish after seating its c customers one after the other.
 
     ``tables_there``: the restaurant's tables of other dishes; p0: the parent's probability.
@@ -201,30 +289,37 @@ def seat(c: np.ndarray, tables_there: np.ndarray, p0: np.ndarray, rng: np.random
         now = np.minimum(c[active] - j, step)
         new = (strength + d * (tables_there[active] + t[active])) * p0[active]
         p = new / (new + np.maximum(j - d * t[active], 1e-12))
-        t[active] += rng.binomial(now, p) if step > 1 else rng.random(len(active)) < p
+        t[active] += draws.binomial(active, now, p, j) if step > 1 else draws.uniform(active, j) < p
         j += step
         active = active[c[active] > j]
     return t
 
 
-def sweeps(c: np.ndarray, context: np.ndarray, p0: np.ndarray, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Tables of each (context, dish) cell and of each context after Gibbs sweeps, the first BURN_IN left out."""
-    rng = np.random.default_rng([SEED, seed])
+def sweeps(c: np.ndarray, context: np.ndarray, p0: np.ndarray, draws: Draws, split: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tables of each (context, dish) cell and of each context after Gibbs sweeps, the first BURN_IN left out.
+
+    ``split``: of contexts whose other dishes are elsewhere, their tables in all; -1 for others.
+    """
     n = int(context[-1]) + 1 if len(context) else 0
+    split = np.full(n, -1.0) if split is None else split
     t = (c > 0).astype(np.float64)
-    total = np.bincount(context, weights=t, minlength=n)
+
+    def summed() -> np.ndarray:
+        return np.where(split >= 0, split, np.bincount(context, weights=t, minlength=n))
+
+    total = summed()
     for sweep in range(BURN_IN + SWEEPS):
-        t = seat(c, total[context] - t, p0, rng)
-        total = np.bincount(context, weights=t, minlength=n)
+        t = seat(c, np.maximum(total[context] - t, 0), p0, draws.sweep(sweep))
+        total = summed()
         if sweep >= BURN_IN:
             yield t, total
 
 
-def predictive(c: np.ndarray, context: np.ndarray, p0: np.ndarray, seed: int) -> np.ndarray:
+def predictive(c: np.ndarray, context: np.ndarray, p0: np.ndarray, draws: Draws, split: np.ndarray | None = None, customers: np.ndarray | None = None) -> np.ndarray:
     """Probability of each (context, dish) cell, averaged over Gibbs sweeps."""
-    customers = np.bincount(context, weights=c)
+    customers = np.bincount(context, weights=c) if customers is None else customers
     out = np.zeros(len(c))
-    for t, total in sweeps(c, context, p0, seed):
+    for t, total in sweeps(c, context, p0, draws, split):
         out += (np.maximum(c - DISCOUNT * t, 0) + (STRENGTH + DISCOUNT * total[context]) * p0) / (STRENGTH + customers[context])
     return out / SWEEPS
 
@@ -232,7 +327,7 @@ def predictive(c: np.ndarray, context: np.ndarray, p0: np.ndarray, seed: int) ->
 class _Contexts:
     """Occurrences of one bucket of contexts, their (context, dish) cells and its dishes, in order."""
 
-    def __init__(self, rows: list[dict]):
+    def __init__(self, rows: list[dict], hot: Hot):
         self.answers = sorted((r for r in rows if r["slice"] is None), key=lambda r: r["range"])
         self.rows = rows = [r for r in rows if r["slice"] is not None]
         docs = [np.frombuffer(r["docs"], dtype="<u2").astype(np.int64) for r in rows]
@@ -250,6 +345,14 @@ class _Contexts:
         self.context = np.zeros(len(first), dtype=np.int64)
         self.context[1:] = np.cumsum(own[1:] != own[:-1])
         self.dishes, self.dish = np.unique(word[first], return_inverse=True)
+        self.keys = tx.mix(own + tx.mix(word[first], 86), 87)
+        # of each context: its number among the hot ones, their tables, and customers of any
+        self.hot = hot.among(own[_runs(own)])
+        split = self.hot >= 0
+        self.split = np.full(len(split), -1.0)
+        self.split[split] = hot.tables[self.hot[split]]
+        self.all_customers = np.bincount(self.context, weights=self.customers, minlength=len(split))
+        self.all_customers[split] = hot.customers[self.hot[split]]
 
     def answered(self, column: str, kind: str) -> np.ndarray:
         """What ranges answered for each dish: ranges are in the order of dishes."""
@@ -259,50 +362,75 @@ class _Contexts:
         return got
 
     def ask(self, ranges: int, tables: np.ndarray | None) -> pa.RecordBatch:
-        """Requests to ranges, with numbers of training tokens and of tables by dish."""
-        count = np.bincount(self.dish, weights=self.customers, minlength=len(self.dishes)).astype("<u4")
-        total = None if tables is None else np.rint(np.bincount(self.dish, weights=tables, minlength=len(self.dishes))).astype("<u4")
-        words, shift = _bytes(self.dishes, 7), _U(56 - (ranges.bit_length() - 1))
-        cut = np.searchsorted((self.dishes >> shift).astype(np.int64), np.arange(ranges + 1))
-        bucket = self.rows[0]["bucket"]
-        rows = [(r, bucket, words[a:b].tobytes(), count[a:b].tobytes(), None if total is None else total[a:b].tobytes()) for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+        """Requests to ranges, with SWEEPS times the tables by dish, and those of hot contexts, as many as dishes at first."""
+        total = None if tables is None else np.rint(np.bincount(self.dish, weights=tables, minlength=len(self.dishes)))
+        rows = _requests(self.rows[0]["bucket"], self.dishes, ranges, None, total)
+        there = np.flatnonzero(self.hot >= 0)
+        if len(there):
+            own = np.bincount(self.context, weights=self.customers > 0 if tables is None else tables, minlength=len(self.hot))[there]
+            rows.append((-1, self.rows[0]["bucket"], self.hot[there].astype("<u4").tobytes(), None, np.rint(own).astype("<u4").tobytes()))
         return _table(rows, _ASK)
 
 
-def _ask(ranges: int):
+def _ask(ranges: int, hot: Hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches):
-            yield _Contexts(rows).ask(ranges, None)
+            yield _Contexts(rows, hot).ask(ranges, None)
 
     return run
 
 
-def _seat_all(parent: Parent, buckets: int, ranges: int):
+def _seat_all(parent: Parent, ranges: int, hot: Hot, number: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches):
-            x = _Contexts(rows)
+            x = _Contexts(rows, hot)
             p0 = parent.probability(x.answered("shares", "<f8"))[x.dish]
             tables = np.zeros(len(x.dish))
-            for t, _ in sweeps(x.customers, x.context, p0, rows[0]["bucket"] + buckets):
+            for t, _ in sweeps(x.customers, x.context, p0, Draws(x.keys, number), x.split):
                 tables += t
             yield x.ask(ranges, tables)
 
     return run
 
 
-def _score(parent: Parent):
+def _score(parent: Parent, hot: Hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches):
-            x = _Contexts(rows)
+            x = _Contexts(rows, hot)
             count = x.answered("counts", "<i8")[x.dish]
-            p = predictive(x.customers, x.context, parent.probability(x.answered("shares", "<f8"))[x.dish], rows[0]["bucket"])
+            p0 = parent.probability(x.answered("shares", "<f8"))[x.dish]
+            p = predictive(x.customers, x.context, p0, Draws(x.keys, 0), x.split, x.all_customers)
             yield _table(_replies(x.rows, x.lengths, x.doc, np.log10(p)[x.cell], np.log10(count + 0.1)[x.cell], (count > 0)[x.cell]), _BACK)
 
     return run
 
 
-def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges of the parent, summed over buckets; partitions are sorted by range and bucket."""
+def _hot_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tables of hot contexts, summed within a task."""
+    total: dict[int, int] = {}
+    for r in _one_by_one(batches):
+        for h, n in zip(np.frombuffer(r["words"], dtype="<u4").tolist(), np.frombuffer(r["tables"], dtype="<u4").tolist(), strict=True):
+            total[h] = total.get(h, 0) + n
+    yield _table(list(total.items()), "hot int, tables long")
+
+
+def _hot_words(least: float):
+    """Words with so many training tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in _one_by_one(batches):
+            words, count = _numbers(r["words"], 7), np.frombuffer(r["counts"], dtype="<i8")
+            there = count >= least
+            yield _table(list(zip(words[there].astype(np.int64).tolist(), count[there].tolist(), strict=True)), "word long, count long")
+
+    return run
+
+
+def _sum(seated: bool):
+    """Ranges of the parent, summed; partitions are sorted by range. Rows of bucket -1 are the parent so far.
+
+    Customers are the tables that buckets have seated, or the tokens as long as there are none.
+    """
 
     def join(parts: list[tuple]) -> tuple[np.ndarray, ...]:
         words, of = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
@@ -315,46 +443,64 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = (int(count.sum()), len(count), int((count == 1).sum()), int((count == 2).sum()), float(customers.sum()))
         return _table([(number, _bytes(words, 7).tobytes(), count.tobytes(), customers.astype("<f8").tobytes(), *sums)], _PARENT)
 
-    now, parts, held = None, [], 0
-    for r in _one_by_one(batches):
-        if now is not None and r["range"] != now:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, held = None, [], 0
+        for r in _one_by_one(batches):
+            if now is not None and r["range"] != now:
+                yield emit(now, parts)
+                parts, held = [], 0
+            now, words = r["range"], _numbers(r["words"], 7)
+            count = np.zeros(len(words)) if r["counts"] is None else np.frombuffer(r["counts"], dtype="<i8" if r["bucket"] < 0 else "<u4")
+            tables = np.frombuffer(r["tables"], dtype="<u4") / SWEEPS if r["tables"] is not None else np.zeros(len(words)) if seated else count
+            parts.append((words, count, tables))
+            held += len(words)
+            if held > 1_000_000:  # summed as it grows: no more than one table of the range stays
+                parts = [join(parts)]
+                held = len(parts[0][0])
+        if now is not None:
             yield emit(now, parts)
-            parts, held = [], 0
-        now = r["range"]
-        count = np.frombuffer(r["counts"], dtype="<u4")
-        parts.append((_numbers(r["words"], 7), count, count if r["tables"] is None else np.frombuffer(r["tables"], dtype="<u4") / SWEEPS))
-        held += len(count)
-        if held > 1_000_000:  # summed as it grows: no more than one table of the range stays
-            parts = [join(parts)]
-            held = len(parts[0][0])
-    if now is not None:
-        yield emit(now, parts)
+
+    return run
 
 
-_ANSWER = "bucket int, range int, counts binary, shares binary"
+_SHARES = "range int, words binary, counts binary, shares binary, tables double"
 
 
-def _answer(discount: float):
-    """Exact numbers of the dishes asked for; a range's parent comes before its requests."""
+def _seat_parent(parent: Parent, number: int):
+    """Customers of the parent's dishes less the discount of their tables, seated given the tables of all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, words, count, share = None, None, None, None
         for r in _one_by_one(batches):
-            if r["bucket"] < 0:
-                now, words, count = r["range"], _numbers(r["words"], 7), np.frombuffer(r["counts"], dtype="<i8")
-                share = np.maximum(np.frombuffer(r["customers"], dtype="<f8") - discount, 0)
-                continue
-            if r["range"] != now:
-                raise ValueError(f"range {r['range']} of the parent is missing")
-            asked = _numbers(r["words"], 7)
-            at = np.minimum(np.searchsorted(words, asked), max(len(words) - 1, 0))
-            there = words[at] == asked if len(words) else np.zeros(len(asked), dtype=bool)
-            values = [np.where(there, v[at], 0) if len(words) else np.zeros(len(asked)) for v in (count, share)]
-            yield _table([(r["bucket"], r["range"], values[0].astype("<i8").tobytes(), values[1].astype("<f8").tobytes())], _ANSWER)
+            words, customers = _numbers(r["words"], 7), np.frombuffer(r["customers"], dtype="<f8")
+            c, p0 = np.ceil(customers).astype(np.int64), np.full(len(words), 1 / (parent.vocabulary + 1))
+            tables = np.zeros(len(words))
+            for sweep in range(SWEEPS):
+                tables += seat(c, np.full(len(words), max(parent.tables - 1, 0.0)), p0, Draws(tx.mix(words, 88), number).sweep(sweep), parent.discount, PARENT_STRENGTH)
+            tables /= SWEEPS
+            yield _table([(r["range"], r["words"], r["counts"], np.maximum(customers - parent.discount * tables, 0).astype("<f8").tobytes(), float(tables.sum()))], _SHARES)
 
     return run
 
 
+_ANSWER = "bucket int, range int, counts binary, shares binary"
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact numbers of the dishes asked for; a range's parent comes before its requests. Unknown dishes have none."""
+    now, words, count, share = None, None, None, None
+    for r in _one_by_one(batches):
+        if r["bucket"] < 0:
+            now, words, count, share = r["range"], _numbers(r["words"], 7), np.frombuffer(r["counts"], dtype="<i8"), np.frombuffer(r["shares"], dtype="<f8")
+            continue
+        asked = _numbers(r["words"], 7)
+        if r["range"] != now or not len(words):  # nothing was learned there
+            values = [np.zeros(len(asked))] * 2
+        else:
+            at = np.minimum(np.searchsorted(words, asked), len(words) - 1)
+            values = [np.where(words[at] == asked, v[at], 0) for v in (count, share)]
+        yield _table([(r["bucket"], r["range"], values[0].astype("<i8").tobytes(), values[1].astype("<f8").tobytes())], _ANSWER)
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums over buckets for each document of a slice; partitions are sorted by slice."""
 
@@ -366,7 +512,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             d = np.frombuffer(r["docs"], dtype="<u2")
             if not len(d):
                 continue
-            score[d] += np.frombuffer(r["sums"], dtype="<f4")
+            score[d] += np.frombuffer(r["sums"], dtype="<f8")
             base[d] += np.frombuffer(r["base"], dtype="<f8")
             seen[d] += np.frombuffer(r["known"], dtype="<u1" if len(r["known"]) == len(d) else "<u4")
         cols = [pa.array(ids, mask=ids == -(1 << 63)), pa.array(_held(about)[: len(ids)]), pa.array(np.frombuffer(about["sizes"], dtype="<u4").astype(np.int64)), pa.array(seen), pa.array(base), pa.array(score)]
@@ -390,38 +536,68 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     """
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 1 << min(14, max(6, (4 * tasks - 1).bit_length()))
-    ranges = min(buckets, RANGES)
+    # what is sent is a row for each slice and bucket, and for each bucket and range
+    buckets = 1 << min(16, max(6, (2 * tasks - 1).bit_length()))
+    ranges = 1 << min(16, max(4, (tasks - 1).bit_length()))
     slim = docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held"))
 
-    def exchange(reply, schema: str, answers: DataFrame | None = None) -> DataFrame:
-        packed = slim.mapInArrow(_pack(buckets), _PACKED)
+    def exchange(reply, schema: str, hot: Hot, answers: DataFrame | None = None) -> DataFrame:
+        packed = slim.mapInArrow(_pack(buckets, hot), _PACKED)
         if answers is not None:
             packed = packed.unionByName(answers, allowMissingColumns=True)
         return packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(reply, schema)
 
-    def summed(asked: DataFrame) -> tuple[DataFrame, Parent]:
-        ordered = asked.repartition(tasks, "range").sortWithinPartitions("range", "bucket")
-        table = save(ordered.mapInArrow(_sum, _PARENT), "parent")
+    def by_range(rows: DataFrame) -> DataFrame:
+        return rows.repartition(tasks, "range").sortWithinPartitions("range", "bucket")
+
+    def summed(rows: DataFrame, number: int) -> tuple[DataFrame, DataFrame, Parent]:
+        """The parent's numbers, its shares after seating, and sums."""
+        table = save(by_range(rows).mapInArrow(_sum(number > 0), _PARENT), "parent")
         total = table.agg(*(F.sum(c) for c in ("tokens", "kinds", "once", "twice", "seated"))).first()
         tokens, kinds, once, twice, customers = (x or 0 for x in total)
-        return table, Parent(tokens, kinds, _discount(once, twice), float(customers))
-
-    def answered(asked: DataFrame) -> tuple[DataFrame, Parent]:
-        table, parent = summed(asked)
-        both = asked.drop("tables").unionByName(table.select("range", F.lit(-1).alias("bucket"), "words", "counts", "customers"), allowMissingColumns=True)
-        ordered = both.repartition(tasks, "range").sortWithinPartitions("range", "bucket")
-        answers = save(ordered.mapInArrow(_answer(parent.discount), _ANSWER), "answers")
+        parent = Parent(tokens, kinds, _discount(once, twice), float(customers), float(kinds))
+        shares = None
+        for step in (0, 1):  # given as many tables as dishes, then given those seated
+            if shares is not None:
+                discard(shares)
+            shares = save(table.mapInArrow(_seat_parent(parent, 2 + 2 * number + step), _SHARES), "shares")
+            parent.tables = float(shares.agg(F.sum("tables")).first()[0] or 0.0)
+        return table, shares, parent
+
+    def answered(asked: DataFrame, shares: DataFrame) -> DataFrame:
+        both = asked.where("range >= 0").select("range", "bucket", "words").unionByName(shares.select("range", F.lit(-1).alias("bucket"), "words", "counts", "shares"), allowMissingColumns=True)
+        return save(by_range(both).mapInArrow(_answer, _ANSWER), "answers")
+
+    def hot_tables(asked: DataFrame, times: int) -> np.ndarray:
+        found = asked.where("range = -1").mapInArrow(_hot_tables, "hot int, tables long").groupBy("hot").agg(F.sum("tables")).collect()
+        tables = np.zeros(len(hot.contexts))
+        for h, n in found:
+            tables[h] = n / times
+        return tables
+
+    table, shares, parent = summed(slim.mapInArrow(_count(ranges), _ASK), 0)
+    frequent = table.mapInArrow(_hot_words(max(HOT_LEAST, parent.tokens / HOT_SHARE)), "word long, count long").collect()
+    end, begin = int(_END >> _U(8)), int(_BEGIN >> _U(8))
+    # as many contexts begin a text as tokens end one
+    frequent = sorted([(w, n) for w, n in frequent] + [(begin, n) for w, n in frequent if w == end])
+    hot = Hot(np.array([w for w, _ in frequent], dtype=_U), np.array([n for _, n in frequent], dtype=np.float64), np.zeros(len(frequent)))
+    asked = save(exchange(_ask(ranges, hot), _ASK, hot), "requests")
+    hot.tables = hot_tables(asked, 1)
+    for number in range(1, PARENT_SWEEPS + 1):
+        answers = answered(asked, shares)
         discard(asked)
-        discard(table)
-        return answers, parent
-
-    answers, parent = answered(save(exchange(_ask(ranges), _ASK), "requests"))
-    for _ in range(PARENT_SWEEPS):
-        asked = save(exchange(_seat_all(parent, buckets, ranges), _ASK, answers), "tables")
+        asked = save(exchange(_seat_all(parent, ranges, hot, number), _ASK, hot, answers), "tables")
         discard(answers)
-        answers, parent = answered(asked)
-    replies = exchange(_score(parent), _BACK, answers).repartition(tasks, "slice").sortWithinPartitions("slice")
+        discard(shares)
+        hot.tables = hot_tables(asked, SWEEPS)
+        so_far = table.select("range", F.lit(-1).alias("bucket"), "words", "counts", F.lit(None).cast("binary").alias("tables"))
+        before = table
+        table, shares, parent = summed(asked.where("range >= 0").unionByName(so_far), number)
+        discard(before)
+    answers = answered(asked, shares)
+    for used in (asked, shares, table):
+        discard(used)
+    replies = exchange(_score(parent, hot), _BACK, hot, answers).repartition(tasks, "slice").sortWithinPartitions("slice")
     scored = replies.mapInArrow(_gather, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double")
     per_token = F.log10(F.lit(parent.tokens + 0.1 * (parent.vocabulary + 1)))
     return scored.select(
