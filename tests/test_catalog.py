@@ -33,8 +33,8 @@ def test_query_equals_sql(spark, duck, name):
     assert a or name in ("missing_keys_anti", "near_threshold")  # few users at the smallest scale
 
 
-def test_all_have_sql_but_the_fingerprint():
-    assert set(QUERIES) - set(ORACLE_SQL) == {"fingerprint"}
+def test_all_have_sql():
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 def test_fingerprint_ignores_order_and_sees_changes(spark):

@@ -13,12 +13,14 @@ def coverage(rows: DataFrame, keys: list[str], timeframe: str | None, threshold:
     """Per key: files, rows, exact distinct minutes, time range, completeness against a full day.
 
     With no ``timeframe``, as for funding, expected rows and what follows from them are null.
+    Distinct files and minutes are sets of a key, which has a day's minutes at most, so that
+    rows combine before the one shuffle and none is expanded.
     """
     expected = expected_rows(timeframe) if timeframe else None
     out = rows.groupBy(*keys).agg(
-        F.countDistinct(file).alias("num_files"),
+        F.size(F.collect_set(file)).cast("long").alias("num_files"),
         F.count(F.lit(1)).alias("num_rows"),
-        F.countDistinct(F.date_trunc("minute", F.col(first))).alias("distinct_minute_cnt"),
+        F.size(F.collect_set(F.date_trunc("minute", F.col(first)))).cast("long").alias("distinct_minute_cnt"),
         F.min(first).alias("min_ts"),
         F.max(last).alias("max_ts"),
     )

@@ -50,6 +50,13 @@ def rolling_rank_in_range(base: DataFrame, start, end, lookback: int = LOOKBACK,
 
 
 def rolling_rank_for_keys(base: DataFrame, keys: DataFrame, lookback: int = LOOKBACK, top: int = TOP) -> DataFrame:
-    """rolling_rank of all symbols on the dates of ``keys``: a new symbol shifts the ranks of its peers."""
-    dates = keys.select("market", "timeframe", "date").distinct()
-    return with_rank(with_median(base, lookback).join(dates, ["market", "timeframe", "date"], "left_semi"), top)
+    """rolling_rank of all symbols on the dates of ``keys``: a new symbol shifts the ranks of its peers.
+
+    Medians are taken over the rows of those dates and the ``lookback`` - 1 before them in each
+    series only.
+    """
+    dates = keys.select("market", "timeframe", "date").distinct().withColumn("_due", F.lit(True))
+    flagged = base.join(dates, ["market", "timeframe", "date"], "left")
+    ahead = Window.partitionBy(*SERIES).orderBy("date").rowsBetween(0, lookback - 1)
+    needed = flagged.withColumn("_near", F.max("_due").over(ahead)).where("_near").drop("_near")
+    return with_rank(with_median(needed, lookback).where("_due").drop("_due"), top)

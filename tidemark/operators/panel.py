@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.tables import require_unique
+from tidemark.operators.tables import first_rows, require_unique
 
 HORIZONS = (1, 5, 20)
 COLUMNS = [
@@ -21,14 +21,22 @@ def exact_day_returns(bars: DataFrame, check: bool = True) -> DataFrame:
     """Adds returns to the closes exactly one day back and 1, 5, 20 days ahead; null where a day is missing.
 
     The closes are looked up in range frames over the day's number, all on one shuffle by
-    symbol, and rely on one row for each (symbol, day).
+    symbol, and rely on one row for each (symbol, day), which ``check`` looks into first.
     """
     if check:
         require_unique(bars, ["symbol", "day"])
+    return _returns(bars, False)
+
+
+def _returns(bars: DataFrame, guard: bool) -> DataFrame:
+    """With ``guard`` a repeated (symbol, day) fails where it is met, without a pass of its own."""
     numbered = bars.withColumn("_n", F.unix_date("day"))
 
+    def near(k: int) -> Window:
+        return Window.partitionBy("symbol").orderBy("_n").rangeBetween(k, k)
+
     def close_at(k: int) -> Column:
-        return F.max("close").over(Window.partitionBy("symbol").orderBy("_n").rangeBetween(k, k))
+        return F.max("close").over(near(k))
 
     def log_ratio(a: Column, b: Column) -> Column:
         return F.when((a > 0) & (b > 0), F.ln(a) - F.ln(b))
@@ -36,6 +44,9 @@ def exact_day_returns(bars: DataFrame, check: bool = True) -> DataFrame:
     numbered = numbered.withColumn("_m1", close_at(-1))
     for k in HORIZONS:
         numbered = numbered.withColumn(f"_p{k}", close_at(k))
+    if guard:
+        twice = F.raise_error(F.concat(F.lit("not unique by ['symbol', 'day']: "), F.col("symbol"), F.lit(" "), F.col("day").cast("string"))).cast("double")
+        numbered = numbered.withColumn("_own", F.count(F.lit(1)).over(near(0))).withColumn("_m1", F.when(F.col("_own") > 1, twice).otherwise(F.col("_m1"))).drop("_own")
     close = F.col("close")
     out = numbered.withColumn("ret_1d", F.try_divide(close, F.col("_m1")) - 1)
     for k in HORIZONS:
@@ -48,7 +59,8 @@ def base_panel(universe: DataFrame, bars: DataFrame, start=None, end=None, membe
     """Universe rows with the bars and returns of their day.
 
     ``bars``: (symbol, day, ...) of daily bars. Returns use the whole bar series, within the
-    panel's days plus one before and twenty after.
+    days asked for plus one before and twenty after. Neither the universe nor the bars are
+    read a second time; with ``check`` a repeated (symbol, day) of bars fails the query.
     """
     rows = universe.where("in_universe") if members_only and "in_universe" in universe.columns else universe
     if start is not None:
@@ -57,11 +69,13 @@ def base_panel(universe: DataFrame, bars: DataFrame, start=None, end=None, membe
         rows = rows.where(F.col("day") <= F.lit(end))
     extra = [c for c in ("entry_n", "exit_n") if c in universe.columns]
     kept = [c for c in COLUMNS if c in universe.columns and c not in _BARS]
-    rows = rows.select(*kept, *extra).dropDuplicates(["day", "symbol"])
-    span = rows.agg(F.date_sub(F.min("day"), 1).alias("lo"), F.date_add(F.max("day"), 20).alias("hi"))
-    near = bars.join(F.broadcast(span), F.col("day").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")  # one row
-    near = near.join(rows.select("symbol").distinct(), "symbol", "left_semi")
-    returned = exact_day_returns(near.select("symbol", "day", *_BARS), check)
+    rows = first_rows(rows.select(*kept, *extra), ["day", "symbol"])
+    near = bars.select("symbol", "day", *_BARS)
+    if start is not None:
+        near = near.where(F.col("day") >= F.date_sub(F.lit(start).cast("date"), 1))
+    if end is not None:
+        near = near.where(F.col("day") <= F.date_add(F.lit(end).cast("date"), max(HORIZONS)))
+    returned = _returns(near, check)
     dollars = F.when(F.col("dollar_volume").isNotNull(), F.ln(F.greatest("dollar_volume", F.lit(1.0))))
     return rows.join(returned, ["day", "symbol"], "left").withColumn("log_dollar_volume", dollars).select(*(c for c in COLUMNS), *extra)
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions.exprs import differs, names_where
 
@@ -41,6 +42,28 @@ def replace_keys(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new.select(*old.columns))
 
 
+def update_from(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """``target`` with ``columns`` taken from ``source`` where it has the key; other rows stay as they were.
+
+    ``source`` must have a key once at most; a column that ``target`` lacks is null where ``source`` lacks the key.
+    """
+    fresh = source.select(*keys, *(F.col(c).alias(f"_new_{c}") for c in columns), F.lit(True).alias("_hit"))
+    joined = target.join(fresh, keys, "left")
+    old = lambda c: F.col(c) if c in target.columns else F.lit(None)
+    taken = {c: F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(old(c)) for c in columns}
+    rest = [c for c in columns if c not in target.columns]
+    return joined.select(*(taken[c].alias(c) if c in taken else F.col(c) for c in target.columns), *(taken[c].alias(c) for c in rest))
+
+
+def first_rows(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """One row of each key: the first by ``order``, then by all other columns, so that reruns keep the same."""
+    rest = [c for c in df.columns if c not in keys and c not in (order or [])]
+    if not (order or rest):
+        return df.distinct()
+    place = Window.partitionBy(*keys).orderBy(*(order or []), *rest)
+    return df.withColumn("_place", F.row_number().over(place)).where("_place = 1").drop("_place")
+
+
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """(rows beyond the first of each key), one row."""
     return df.groupBy(*keys).count().where("count > 1").agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
@@ -52,12 +75,22 @@ def require_unique(df: DataFrame, keys: list[str]) -> None:
 
 
 def fingerprint(df: DataFrame, columns: list[str] | None = None, digits: int | None = 9) -> DataFrame:
-    """Row count and sum, least and greatest of row hashes, whatever the order; doubles are rounded."""
+    """Row count and sum, least and greatest of row hashes, whatever the order; doubles are rounded.
+
+    A row's hash is the first 60 bits of the MD5 of its values' texts, each after its length,
+    by name; times count in microseconds, doubles have ``digits`` places. Any engine can repeat it.
+    """
     types = dict(df.dtypes)
-    names = sorted(columns or df.columns)
-    # nulls are marked, as hashing skips them
-    parts = [F.struct(F.col(c).isNull(), F.round(c, digits) if digits is not None and types[c] == "double" else F.col(c)) for c in names]
-    h = F.xxhash64(*parts)
+
+    def text(c: str) -> Column:
+        if types[c] == "double" and digits is not None:
+            return F.coalesce(F.expr(f"cast(try_cast(round(`{c}`, {digits}) as decimal(38, {digits})) as string)"), F.col(c).cast("string"))
+        if types[c].startswith("timestamp"):
+            return F.unix_micros(F.col(c).cast("timestamp")).cast("string")
+        return F.col(c).cast("string")
+
+    parts = [F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("null")) for c in sorted(columns or df.columns)]
+    h = F.conv(F.substring(F.md5(F.concat_ws(",", *parts).cast("binary")), 1, 15), 16, 10).cast("long")
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(h.cast("decimal(38,0)")).alias("hash_sum"), F.min(h).alias("hash_min"), F.max(h).alias("hash_max"))
 
 

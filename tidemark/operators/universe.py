@@ -23,8 +23,8 @@ def candidate_ranks(liquidity: DataFrame, start, end, market: str = "futures", t
     return rows.select(F.date_add("date", 1).alias("day"), F.col("date").alias("asof_date"), "symbol", *(F.col(a).alias(b) for a, b in ASOF.items()))
 
 
-def hysteresis(candidates: DataFrame, entry_n: int = ENTRY, exit_n: int = EXIT) -> DataFrame:
-    """Members of each day: in from rank ``entry_n``, out behind rank ``exit_n`` or when absent.
+def with_state(candidates: DataFrame, entry_n: int = ENTRY, exit_n: int = EXIT) -> DataFrame:
+    """All candidates with ``in_universe``: in from rank ``entry_n``, out behind rank ``exit_n`` or when absent.
 
     A fold over days in closed form: within a run of days that a symbol does not miss,
     the last decisive rank holds. Days are counted over those that have candidates.
@@ -37,19 +37,20 @@ def hysteresis(candidates: DataFrame, entry_n: int = ENTRY, exit_n: int = EXIT)
     rows = candidates.join(days, "day").withColumn("_sig", F.when(rank <= entry_n, True).when(rank > exit_n, False))
     rows = rows.withColumn("_run", F.col("_i") - F.row_number().over(Window.partitionBy("symbol").orderBy("_i")))
     state = F.last("_sig", ignorenulls=True).over(Window.partitionBy("symbol", "_run").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0))
-    members = rows.withColumn("_in", F.coalesce(state, F.lit(False))).where("_in")
-    return members.select(*candidates.columns, F.lit(entry_n).alias("entry_n"), F.lit(exit_n).alias("exit_n"), (F.weekday("day") >= 5).alias("is_weekend"))
+    return rows.select(*candidates.columns, F.coalesce(state, F.lit(False)).alias("in_universe"), F.lit(entry_n).alias("entry_n"), F.lit(exit_n).alias("exit_n"), (F.weekday("day") >= 5).alias("is_weekend"))
+
+
+def hysteresis(candidates: DataFrame, entry_n: int = ENTRY, exit_n: int = EXIT) -> DataFrame:
+    """Members of each day."""
+    return with_state(candidates, entry_n, exit_n).where("in_universe").drop("in_universe")
 
 
 def universe_daily(liquidity: DataFrame, start, end, entry_n: int = ENTRY, exit_n: int = EXIT, market: str = "futures", timeframe: str = "1m", all_candidates: bool = False) -> DataFrame:
     """Members with their as-of values; with ``all_candidates`` every candidate and ``in_universe``."""
     candidates = candidate_ranks(liquidity, start, end, market, timeframe)
-    members = hysteresis(candidates, entry_n, exit_n).select(*COLUMNS)
     if not all_candidates:
-        return members
-    flags = members.select("day", "symbol", F.lit(True).alias("in_universe"))
-    rows = candidates.select("*", F.lit(entry_n).alias("entry_n"), F.lit(exit_n).alias("exit_n"), (F.weekday("day") >= 5).alias("is_weekend"))
-    return rows.join(flags, ["day", "symbol"], "left").select(*COLUMNS, F.coalesce("in_universe", F.lit(False)).alias("in_universe"))
+        return hysteresis(candidates, entry_n, exit_n).select(*COLUMNS)
+    return with_state(candidates, entry_n, exit_n).select(*COLUMNS, "in_universe")
 
 
 def turnover(universe: DataFrame) -> DataFrame:
