@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.plans.metadata import BROADCAST_KEYS
 from tidemark.operators.bars import daily_bars, months_to_resample
 from tidemark.schemas import DAILY
 from tidemark.sources.lake import Scope, read_dataset, write_partitioned
@@ -52,7 +53,7 @@ def resample_bars(spark: SparkSession, root: str, *, dataset: str = "klines", ma
     rows = read_dataset(spark, root, dataset, timeframe_src, market, scope).withColumn("month", F.substring("date", 1, 7))
     rows = rows.where(F.col("month").isin(sorted({m for _, m in listed})))
     wanted = spark.createDataFrame(listed, "symbol string, month string")
-    rows = rows.join(F.broadcast(wanted), ["symbol", "month"], "left_semi")  # a row for each month asked for
+    rows = rows.join(F.broadcast(wanted) if len(listed) <= BROADCAST_KEYS else wanted, ["symbol", "month"], "left_semi")
     bars = daily_bars(rows.withColumn("date", F.to_date("date")), ["symbol", "month", "date"], volume=dataset == "klines")
     names = [c.split()[0] for c in DAILY[dataset].split(", ")]
     try:

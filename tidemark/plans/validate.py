@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
@@ -20,8 +19,9 @@ from tidemark.functions.exprs import as_date
 from tidemark.operators import checks as bad
 from tidemark.operators import selectors, tables
 from tidemark.operators.bars import daily_bars
-from tidemark.plans.metadata import build_metadata, scope_of
+from tidemark.plans.metadata import BROADCAST_KEYS, build_metadata, scope_of
 from tidemark.schemas import DAILY, DATASETS, KEYS, TABLES, stable_columns
+from tidemark.session import remove, shared_scratch
 from tidemark.sources.lake import MetaStore, Scope, read_dataset
 
 PASS, WARN, FAIL, ERROR, SKIP = "PASS", "WARN", "FAIL", "ERROR", "SKIP"
@@ -125,8 +125,7 @@ def validate_metadata(spark: SparkSession, root: str, meta_root: str, *, market:
     full, scope, store, found = profile == "full", scope_of(symbols, date_start, date_end), MetaStore(spark, meta_root), []
     if store._current("md_partition_coverage") is None:
         return _run("metadata", [Check("source.open", "source", ERROR, meta_root, "no metadata there")], output_dir)
-    scratch = scratch or tempfile.mkdtemp(prefix="tidemark-validate-")
-    fresh_root = f"{scratch.rstrip('/')}/meta-{uuid4().hex}"
+    fresh_root = f"{(scratch or shared_scratch(spark)).rstrip('/')}/meta-{uuid4().hex}"
     try:
         build_metadata(spark, root, fresh_root, market=market, datasets=datasets, timeframe_filter=timeframe)
         found.append(Check("rebuild.temp_build", "rebuild", PASS, fresh_root, "rebuilt"))
@@ -158,6 +157,7 @@ def validate_metadata(spark: SparkSession, root: str, meta_root: str, *, market:
         _violations("invariant.alignment_keys_backed_by_coverage", "md_alignment_summary", bad.alignment_unbacked(t["md_alignment_summary"], covered), output_dir, full),
         _violations("invariant.liquidity_keys_backed_by_coverage_klines", "md_liquidity_daily", bad.liquidity_unbacked(t["md_liquidity_daily"], covered), output_dir, full),
     ]
+    remove(spark, fresh_root)
     twice = {name: tables.duplicates(df, KEYS[name]).first()[0] for name, df in t.items()}
     found.append(Check("invariant.no_duplicate_primary_keys", "invariant", FAIL if any(twice.values()) else PASS, "all tables", f"{sum(twice.values())} repeated keys", twice))
     return _run("metadata", found, output_dir)
@@ -185,7 +185,7 @@ def validate_derived_1d(spark: SparkSession, root: str, *, dataset: str = "kline
         expected, actual = (df.where(F.date_format("date", "yyyy-MM").isin(months)) for df in (expected, actual))
     if sample_limit is not None:
         tasks = expected.select("symbol", F.date_format("date", "yyyy-MM").alias("_m")).distinct().orderBy("symbol", "_m").limit(sample_limit)
-        expected, actual = (df.join(F.broadcast(tasks), (df["symbol"] == tasks["symbol"]) & (F.date_format(df["date"], "yyyy-MM") == F.col("_m")), "left_semi") for df in (expected, actual))
+        expected, actual = (df.join(F.broadcast(tasks) if sample_limit <= BROADCAST_KEYS else tasks, (df["symbol"] == tasks["symbol"]) & (F.date_format(df["date"], "yyyy-MM") == F.col("_m")), "left_semi") for df in (expected, actual))
     found = []
     shape = actual.where(F.col("month") != F.date_format("date", "yyyy-MM")).count()
     found.append(Check("derived.partition_shape", "derived", FAIL if shape else PASS, target, f"{shape} rows outside their month", {"rows": shape}))
@@ -193,7 +193,7 @@ def validate_derived_1d(spark: SparkSession, root: str, *, dataset: str = "kline
     found.append(Check("derived.unique_symbol_date", "derived", FAIL if twice else PASS, target, f"{twice} repeated days", {"rows": twice}))
     rollup = [v for v in values if v in ("src_rows", "min_ts", "max_ts", "dollar_volume", "vwap")]
     core = [v for v in values if v not in rollup]
-    one = actual.dropDuplicates(["symbol", "date"])
+    one = tables.first_rows(actual, ["symbol", "date"], ["file"])
     sides = tables.compare(expected, one, ["symbol", "date"], core, tolerance).where("side <> 'both' or mismatch <> ''")
     counts = {r[0]: r[1] for r in sides.groupBy("side").count().collect()}
     art = _sample(sides, output_dir, f"derived_{dataset}_aggregate_match", "days that are missing, extra or differ") if counts else None

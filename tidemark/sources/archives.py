@@ -7,6 +7,7 @@ import io
 import os
 import time
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -44,11 +45,12 @@ def in_flight(path: str, now: float | None = None) -> bool:
     return path.endswith(PARTIAL) or (now or time.time()) - os.path.getmtime(path) < GRACE_S
 
 
-def zip_is_valid(path: str) -> bool:
+def zip_is_valid(file: str | io.BytesIO) -> bool:
+    """Whether a ZIP, a path or its content, is whole and its sums are right."""
     try:
-        with zipfile.ZipFile(path) as z:
+        with zipfile.ZipFile(file) as z:
             return z.testzip() is None
-    except (OSError, zipfile.BadZipFile):
+    except (OSError, zipfile.BadZipFile, zlib.error):
         return False
 
 
@@ -92,10 +94,15 @@ def read_csv_member(content: bytes, dataset: str) -> pd.DataFrame:
     return df[list(FIELDS[dataset])]
 
 
-def read_archives(spark: SparkSession, listed: list[tuple[str, str, str]], dataset: str) -> DataFrame:
+#: How the error of an archive that is no sound ZIP begins.
+INVALID = "invalid zip"
+
+
+def read_archives(spark: SparkSession, listed: list[tuple[str, str, str]], dataset: str, check: bool = True) -> DataFrame:
     """Text rows with ``path``, ``lake_symbol``, ``lake_date`` and ``error``; an archive that fails gives one row with the error.
 
-    Archives can't be split: one is one record of a task.
+    Archives can't be split: one is one record of a task, which also checks all its sums if
+    ``check``. The paths must be ones that every executor sees.
     """
     schema = ", ".join(["path string", "lake_symbol string", "lake_date string", "error string", *(f"`{f}` string" for f in FIELDS[dataset])])
     files = spark.createDataFrame(listed, "path string, lake_symbol string, lake_date string")
@@ -106,9 +113,13 @@ def read_archives(spark: SparkSession, listed: list[tuple[str, str, str]], datas
                 about = {"path": path, "lake_symbol": symbol, "lake_date": day}
                 try:
                     with open(path, "rb") as f:
-                        rows = read_csv_member(f.read(), dataset)
+                        content = f.read()
+                    if check and not zip_is_valid(io.BytesIO(content)):
+                        raise zipfile.BadZipFile(path)
+                    rows = read_csv_member(content, dataset)
                     yield rows.assign(**about, error=None)[[*about, "error", *FIELDS[dataset]]]
                 except Exception as e:
-                    yield pd.DataFrame([about | {"error": f"{type(e).__name__}: {e}"} | dict.fromkeys(FIELDS[dataset])])
+                    what = INVALID if isinstance(e, zipfile.BadZipFile) else type(e).__name__
+                    yield pd.DataFrame([about | {"error": f"{what}: {e}"} | dict.fromkeys(FIELDS[dataset])])
 
     return files.repartition(max(1, min(len(listed), 4 * spark.sparkContext.defaultParallelism))).mapInPandas(run, schema)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.exprs import month_starts
 from tidemark.schemas import KEYS, SPECS, TABLES
 
 
@@ -46,27 +47,44 @@ class Scope:
         return test
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+#: Patterns of folders that a read is narrowed to at most; beyond them the whole dataset is listed.
+MOST_PATTERNS = 200
+
+
+def _narrowed(spark: SparkSession, path: str, scope: Scope, parted: str) -> list[str]:
+    """Folder patterns for a scope's symbols and months, those that match something; else the path itself."""
+    months = [f"{m:%Y-%m}" for m in month_starts(scope.start, scope.end)] if scope.start and scope.end else ["*"]
+    if scope.symbols is None and months == ["*"] or len(months) * len(scope.symbols or "*") > MOST_PATTERNS:
+        return [path]
+    tails = ["*"] if months == ["*"] else months if parted == "month" else [f"{m}-*" for m in months]
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted = [f"{path}/symbol={s}/{parted}={t}" for s in scope.symbols or ["*"] for t in tails]
+    return [w for w in wanted if fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(w))] or [path]
+
+
 def read_dataset(spark: SparkSession, root: str, dataset: str, timeframe: str = "1m", market: str = "futures", scope: Scope | None = None) -> DataFrame | None:
     """Rows of a dataset with its partition columns as strings and ``file``; None if it is not there.
 
     Only the subtree of one timeframe is read, as days and months must not be mixed.
-    Partition filters prune folders. Files of other schemas are united by name.
+    Files of other schemas are united by name, which reads their footers: so folders are
+    narrowed by symbol and month before, and filtered by day after.
     """
     base = f"{str(root).rstrip('/')}/{market}/{dataset}"
     spec = SPECS[dataset]
     path = f"{base}/timeframe={timeframe}" if spec.has_timeframe else base
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return None
-    df = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(path)
-    if "timeframe" not in df.columns:
-        df = df.withColumn("timeframe", F.lit(""))
     scope = scope or Scope()
     parted = "month" if spec.has_timeframe and timeframe != "1m" else "date"
+    df = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*_narrowed(spark, path, scope, parted))
+    if "timeframe" not in df.columns:
+        df = df.withColumn("timeframe", F.lit(""))
     df = df.where(scope.on_month() if parted == "month" else scope.on(day="date"))
     return df.withColumn("file", F.col("_metadata.file_path"))
 
