@@ -53,6 +53,8 @@ PARENT_SWEEPS = 1
 #: Contexts that are split by dish: those with more than one in so many training tokens, and this many at least.
 HOT_SHARE, HOT_LEAST = 1 << 12, 1000
 SEED = 7
+#: Scores are summed as whole numbers of this fraction of a unit, whose sums do not depend on order.
+FIXED = 1 << 20
 #: Bounds of a slice: documents (their numbers take two bytes), and bytes of text.
 ROWS, SLICE_BYTES = 2048, 2 << 20
 SINGLE = 24
@@ -81,7 +83,8 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-_PACKED = "bucket int, slice long, held binary, ids binary, sizes binary, contexts binary, runs binary, docs binary, words binary"
+#: Occurrences of hot contexts come first, with the number of their context each; the others are runs of one context.
+_PACKED = "bucket int, slice long, held binary, ids binary, sizes binary, hot binary, contexts binary, runs binary, docs binary, words binary"
 #: To a range of words: some words, and training tokens of each or SWEEPS times its tables. Range -1: numbers of hot contexts and their tables.
 _ASK = "range int, bucket int, words binary, counts binary, tables binary"
 #: A range of the parent: its words, training tokens and customers, and their sums.
@@ -159,14 +162,20 @@ def _pack(buckets: int, hot: Hot):
             doc = np.repeat(np.arange(len(ids)), size)
             key = np.insert(w.hashes, w.offsets[:-1], _BEGIN) >> _U(8)
             bucket = key >> shift
-            split = hot.among(key) >= 0
+            among = hot.among(key)
+            split = among >= 0
             bucket[split] = (tx.mix(key[split] + tx.mix(word[split], 83), 84) >> _U(8)) >> shift
-            order = np.argsort((bucket << _U(48)) + (key & _U((1 << 48) - 1)), kind="stable")
-            key, bucket, docs = key[order], bucket[order], doc[order].astype("<u2")
+            inner = np.where(split, among.astype(_U), (key & _U((1 << 48) - 1)) | _U(1 << 47))
+            order = np.argsort((bucket << _U(48)) + inner, kind="stable")
+            key, bucket, among, docs = key[order], bucket[order], among[order], doc[order].astype("<u2")
             first = _runs(bucket, key)
+            first = first[among[first] < 0]
             at = np.searchsorted(bucket.astype(np.int64), np.arange(buckets + 1))
             at_run = np.searchsorted(first, at)
-            keys, run_n = _bytes(key[first], 7), np.diff(np.append(first, len(key))).astype("<u4")
+            warm = np.flatnonzero(among >= 0)
+            at_hot = np.searchsorted(warm, at)
+            numbers, cold = among[warm].astype("<u2"), np.append(np.cumsum(among < 0), 0)
+            keys, run_n = _bytes(key[first], 7), np.diff(np.append(cold[first] - 1, cold[-2] if len(key) else 0)).astype("<u4")
             words = _bytes(word[order], 7)
             meta = int(tx.mix(np.array([number], dtype=_U))[0] % _U(buckets))
             rows = []
@@ -176,7 +185,7 @@ def _pack(buckets: int, hot: Hot):
                     continue
                 about = (b"".join((i if i is not None else -(1 << 63)).to_bytes(8, "little", signed=True) for i in ids), size.astype("<u4").tobytes()) if b == meta else (None, None)
                 rx, ry = at_run[b], at_run[b + 1]
-                rows.append((b, number, np.packbits(held).tobytes(), *about, keys[rx:ry].tobytes(), run_n[rx:ry].tobytes(), docs[x:y].tobytes(), words[x:y].tobytes()))
+                rows.append((b, number, np.packbits(held).tobytes(), *about, numbers[at_hot[b] : at_hot[b + 1]].tobytes(), keys[rx:ry].tobytes(), run_n[rx:ry].tobytes(), docs[x:y].tobytes(), words[x:y].tobytes()))
             yield _table(rows, _PACKED)
 
     return run
@@ -211,10 +220,11 @@ def _replies(rows: list[dict], lengths: list[int], doc: np.ndarray, score: np.nd
         d = doc[at : at + n]
         there = np.unique(d)
         sums = [np.bincount(d, weights=v[at : at + n])[there] if n else np.zeros(0) for v in (score, base, known)]
-        # numbers of known words are as wide as the largest needs
+        # numbers are as wide as the largest needs
         width = "<u1" if not n or sums[2].max() < 1 << 8 else "<u4"
+        score_width = "<i4" if not n or np.abs(sums[0]).max() < 1 << 31 else "<i8"
         held = r["held"] if r["ids"] is not None else None
-        out.append((r["slice"], r["bucket"], r["ids"], r["sizes"], held, there.astype("<u2").tobytes(), sums[0].astype("<f8").tobytes(), sums[1].astype("<f8").tobytes(), sums[2].astype(width).tobytes()))
+        out.append((r["slice"], r["bucket"], r["ids"], r["sizes"], held, there.astype("<u2").tobytes(), sums[0].astype(score_width).tobytes(), sums[1].astype("<f8").tobytes(), sums[2].astype(width).tobytes()))
         at += n
     return out
 
@@ -333,7 +343,7 @@ class _Contexts:
         docs = [np.frombuffer(r["docs"], dtype="<u2").astype(np.int64) for r in rows]
         self.doc, self.lengths = np.concatenate(docs), [len(d) for d in docs]
         learn = np.concatenate([~_held(r)[d] for r, d in zip(rows, docs, strict=True)])
-        context = np.concatenate([np.repeat(_numbers(r["contexts"], 7), np.frombuffer(r["runs"], dtype="<u4")) for r in rows])
+        context = np.concatenate([x for r in rows for x in (hot.contexts[np.frombuffer(r["hot"], dtype="<u2")], np.repeat(_numbers(r["contexts"], 7), np.frombuffer(r["runs"], dtype="<u4")))])
         word = np.concatenate([_numbers(r["words"], 7) for r in rows])
         order = np.lexsort((word, context))
         context, word = context[order], word[order]
@@ -400,7 +410,7 @@ def _score(parent: Parent, hot: Hot):
             count = x.answered("counts", "<i8")[x.dish]
             p0 = parent.probability(x.answered("shares", "<f8"))[x.dish]
             p = predictive(x.customers, x.context, p0, Draws(x.keys, 0), x.split, x.all_customers)
-            yield _table(_replies(x.rows, x.lengths, x.doc, np.log10(p)[x.cell], np.log10(count + 0.1)[x.cell], (count > 0)[x.cell]), _BACK)
+            yield _table(_replies(x.rows, x.lengths, x.doc, np.rint(np.log10(p) * FIXED)[x.cell], np.log10(count + 0.1)[x.cell], (count > 0)[x.cell]), _BACK)
 
     return run
 
@@ -512,10 +522,10 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             d = np.frombuffer(r["docs"], dtype="<u2")
             if not len(d):
                 continue
-            score[d] += np.frombuffer(r["sums"], dtype="<f8")
+            score[d] += np.frombuffer(r["sums"], dtype="<i4" if len(r["sums"]) == 4 * len(d) else "<i8")
             base[d] += np.frombuffer(r["base"], dtype="<f8")
             seen[d] += np.frombuffer(r["known"], dtype="<u1" if len(r["known"]) == len(d) else "<u4")
-        cols = [pa.array(ids, mask=ids == -(1 << 63)), pa.array(_held(about)[: len(ids)]), pa.array(np.frombuffer(about["sizes"], dtype="<u4").astype(np.int64)), pa.array(seen), pa.array(base), pa.array(score)]
+        cols = [pa.array(ids, mask=ids == -(1 << 63)), pa.array(_held(about)[: len(ids)]), pa.array(np.frombuffer(about["sizes"], dtype="<u4").astype(np.int64)), pa.array(seen), pa.array(base), pa.array(score / FIXED)]
         return pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
 
     rows: list[dict] = []
@@ -538,7 +548,7 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # what is sent is a row for each slice and bucket, and for each bucket and range
     buckets = 1 << min(16, max(6, (2 * tasks - 1).bit_length()))
-    ranges = 1 << min(16, max(4, (tasks - 1).bit_length()))
+    ranges = 1 << min(16, max(4, (tasks - 1).bit_length() - 2))
     slim = docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held"))
 
     def exchange(reply, schema: str, hot: Hot, answers: DataFrame | None = None) -> DataFrame:
