@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
-from tidemark.plans.catalog import ORACLE_SQL, QUERIES
+from tidemark.plans import catalog, lake_catalog
+
+ORACLE_SQL, QUERIES = catalog.ORACLE_SQL | lake_catalog.ORACLE_SQL, catalog.QUERIES | lake_catalog.QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()

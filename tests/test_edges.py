@@ -142,6 +142,58 @@ def test_command_line():
         assert r.returncode == 0 and "usage" in r.stdout
 
 
+def test_command_line_options():
+    parse = _parser().parse_args
+    a = parse(["ingest-local-downloads-to-lake", "--root", "r", "--downloads", "d", "--startdate", "a", "--enddate", "b", "--assets", "A,B", "C", "--timeframes", "1m", "1h", "--no-mark", "--done", "targets"])
+    assert _merged(a.symbols) == ["A", "B", "C"] and a.timeframes == ["1m", "1h"] and a.klines and not a.mark and a.done == "targets"
+    a = parse(["fetch-futures", "--out-root", "o", "--symbols", "A", "--url", "u", "--timeframe", "1h", "--retries", "2", "--backoff-s", "0.5", "--timeout", "1", "2", "--sleep-s", "0", "--days", "3"])
+    assert (a.timeframe, a.retries, a.backoff_s, a.timeout, a.sleep_s, a.days) == ("1h", 2, 0.5, [1.0, 2.0], 0.0, 3)
+    roots = ["--root", "r", "--meta-root", "m"]
+    a = parse(["build-kline-integrity", *roots, "--changed-files", "x", "y", "--start-date", "2025-01-01", "--timeframe", "1m"])
+    assert a.changed_files == ["x", "y"] and a.date_start == "2025-01-01"
+    assert not parse(["resample-1m-to-1d", "--root", "r", "--no-overwrite"]).overwrite and parse(["resample-1m-to-1d", "--root", "r", "--changed-files", "f"]).changed_files == ["f"]
+    assert parse(["validate", "metadata", *roots, "--datasets", "klines", "--timeframe-filter", "1d"]).datasets == ["klines"]
+    assert parse(["validate", "all", *roots, "--derived-datasets", "mark"]).derived_datasets == ["mark"] and parse(["validate", "derived-1d", *roots, "--tolerance", "0.1"]).tolerance == 0.1
+
+
+def test_ways_to_find_what_is_done(spark, tmp_path):
+    src, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    for day in (1, 2):
+        archive(src, archive_key("A", "klines", date(2025, 1, day)), "a.csv", "time,open,high,low,close,volume\n1735689600000,1,2,0.5,1.5,10\n")
+    run = lambda end, **more: ingest_local_downloads_to_lake(spark, src, lake, start_date="2025-01-01", end_date=end, datasets=["klines"], **more)["datasets"]["klines"]
+    assert run("2025-01-01")["done"] == 1
+    for how, skipped in (("targets", 1), ("scan", 2), ("skip", 0)):
+        found = run("2025-01-02", done=how)
+        assert (found["skipped"], found["done"]) == (skipped, 2 - skipped), how
+    with pytest.raises(ValueError):
+        run("2025-01-02", done="other")
+
+
+def test_integrity_of_changed_files(spark, tmp_path):
+    from lake import one_row_days
+    from tidemark.plans.metadata import build_kline_integrity
+
+    root, meta = str(tmp_path / "lake"), str(tmp_path / "meta")
+    one_row_days(root, "A", D, 3)
+    changed = [f"{root}/futures/klines/timeframe=1m/symbol=A/date=2025-01-02/data.parquet", f"{root}/futures/mark/timeframe=1m/symbol=A/date=2025-01-03/data.parquet"]
+    assert build_kline_integrity(spark, root, meta, changed_files=changed)["rows"] == 1
+    assert build_kline_integrity(spark, root, meta)["rows"] == 2
+
+
+def test_reads_are_narrowed_to_a_scope(spark, tmp_path):
+    from lake import one_row_days
+    from tidemark.sources.lake import Scope, _narrowed
+
+    root = str(tmp_path)
+    one_row_days(root, "A", date(2025, 1, 30), 4)
+    one_row_days(root, "B", date(2025, 1, 30), 4)
+    scope = Scope(("A", "none"), date(2025, 1, 31), date(2025, 2, 1))
+    base = f"{root}/futures/klines/timeframe=1m"
+    assert _narrowed(spark, base, scope, "date") == [f"{base}/symbol=A/date=2025-01-*", f"{base}/symbol=A/date=2025-02-*"]
+    assert sorted((r.symbol, r.date) for r in read_dataset(spark, root, "klines", scope=scope).collect()) == [("A", "2025-01-31"), ("A", "2025-02-01")]
+    assert read_dataset(spark, root, "klines", scope=Scope(("none",))).count() == 0
+
+
 def test_command_runs(spark, tmp_path, capsys):
     from lake import one_row_days
     from tidemark.cli import main

@@ -163,3 +163,28 @@ def test_minute_bars_stream(spark, tmp_path):
     r = spark.table("minute_bars").collect()
     assert [(x.open, x.high, x.low, x.close, x.volume) for x in r] == [(1.0, 40.0, 1.0, 40.0, 3.0)]
     assert minute_bars(df).count() == 2
+
+
+def test_first_rows_and_update_from(spark):
+    from tidemark.operators import tables
+
+    rows = [("a", 2, "x", None), ("a", 1, "z", 5), ("a", 1, "y", 7), ("b", 3, "x", 1)]
+    df = spark.createDataFrame(rows, "k string, o int, v string, n int")
+    for again in (df, df.repartition(3), df.orderBy(F.desc("v"))):
+        assert sorted(tuple(r) for r in tables.first_rows(again, ["k"], ["o"]).collect()) == [("a", 1, "y", 7), ("b", 3, "x", 1)]
+    assert tables.first_rows(df.select("k"), ["k"]).count() == 2
+    source = spark.createDataFrame([("b", 9, None)], "k string, n int, extra string")
+    got = sorted(tuple(r) for r in tables.update_from(df, source, ["k"], ["n", "extra"]).select("k", "o", "v", "n", "extra").collect() if r.k == "b" or r.o == 2)
+    assert got == [("a", 2, "x", None, None), ("b", 3, "x", 9, None)]
+
+
+def test_panel_fails_on_repeated_days(spark):
+    u = spark.createDataFrame([(day(1), "A", day(0), True)], "day date, symbol string, asof_date date, in_universe boolean")
+    for c in ("is_weekend", "asof_dv_30d_median", "asof_liquidity_rank_30d", "asof_dollar_volume", "asof_volume", "asof_close_price"):
+        u = u.withColumn(c, F.lit(None).cast("double"))
+    bar = spark.createDataFrame([("A", day(1), 2.0), ("A", day(1), 3.0)], "symbol string, day date, close double")
+    for c in ("open", "high", "low", "volume", "vwap", "src_rows", "max_ts", "dollar_volume"):
+        bar = bar.withColumn(c, F.lit(1.0))
+    with pytest.raises(Exception, match="not unique"):
+        panel.base_panel(u, bar).collect()
+    assert panel.base_panel(u, bar, check=False).count() == 2

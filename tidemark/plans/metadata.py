@@ -20,6 +20,7 @@ from tidemark.operators.tables import replace_where, union_by_name, upsert
 from tidemark.schemas import DATASETS, SPECS
 from tidemark.sources.lake import MetaStore, Scope, day_column, read_dataset
 from tidemark.sources.manifest import merged_manifest, scan_files
+from tidemark.sources.paths import partitions_of
 
 KEY = ["market", "symbol", "date", "timeframe"]
 #: Partition keys of that many rows at most are broadcast to prune a scan.
@@ -171,13 +172,16 @@ def build_metadata(
     return summary
 
 
-def build_kline_integrity(spark: SparkSession, root: str, meta_root: str, *, market: str = "futures", timeframe: str = "1m", date_start=None, date_end=None, symbols=None, recompute: bool = False) -> dict:
-    """Integrity of one-minute klines in scope: of days without it, or with ``recompute`` of all."""
+def build_kline_integrity(spark: SparkSession, root: str, meta_root: str, *, market: str = "futures", timeframe: str = "1m", date_start=None, date_end=None, symbols=None, recompute: bool = False, changed_files=None) -> dict:
+    """Integrity of one-minute klines in scope: of the days of ``changed_files`` if given, else of days without it, or with ``recompute`` of all."""
     if timeframe != "1m":
         raise ValueError("integrity is defined for 1m klines only")
     store, scope = MetaStore(spark, meta_root), scope_of(symbols, date_start, date_end)
     keys = None
-    if not recompute:
+    if changed_files is not None:
+        found = {(p["symbol"], p["date"]) for p in map(partitions_of, changed_files) if p.get("dataset") == "klines" and p.get("market") == market and p.get("timeframe") == "1m" and "date" in p and "symbol" in p}
+        keys = spark.createDataFrame(sorted(found), "symbol string, date string").withColumn("date", F.to_date("date"))
+    elif not recompute:
         bars = _klines(spark, root, market, "1m", scope)
         if bars is not None:
             keys = bars.select(*KEY).distinct().join(store.read("md_kline_integrity_day"), KEY, "left_anti")
