@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.store import save
+from tidemark.llm.store import discard, save
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _large_star(e: DataFrame, used: list[DataFrame]) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = save(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
+    used.append(least := save(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least"))
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, used: list[DataFrame]) -> DataFrame:
     down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = save(down.groupBy("a").agg(F.min("b").alias("m")), "least")
+    used.append(least := save(down.groupBy("a").agg(F.min("b").alias("m")), "least"))
     moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
@@ -33,7 +33,10 @@ def components(edges: DataFrame) -> DataFrame:
     e = save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = _digest(e)
     while before[0]:
-        e = save(_small_star(_large_star(e)).where("a <> b").distinct(), "edges")
+        used = [e]
+        e = save(_small_star(_large_star(e, used), used).where("a <> b").distinct(), "edges")
+        for u in used:
+            discard(u)
         after = _digest(e)
         if after == before:
             break

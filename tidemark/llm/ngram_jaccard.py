@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import text as tx
 from tidemark.llm.components import components
-from tidemark.llm.store import save
+from tidemark.llm.store import discard, save
 
 WORDS = 5
 #: Least similarity in percent.
@@ -410,14 +410,16 @@ def similar_groups(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> D
     pairs = met.where("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared")).join(of("a"), "a").join(of("b"), "b")
     pairs = pairs.where(f"ra <> rb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
     ends = (f"{f}(ra, rb) as {x}" if p == "r" else f"if(ra < rb, {p}{x}, {p}{y}) as {c}{x}" for p, c in (("r", ""), ("c", "copy_"), ("n", "n")) for x, y, f in (("a", "b", "least"), ("b", "a", "greatest")))
-    pairs = save(pairs.selectExpr(*ends, "shared"), "sized")
+    sized = save(pairs.selectExpr(*ends, "shared"), "sized")
 
     def profiled(x: str) -> DataFrame:
         return nodes.select(F.col("rep").alias(x), F.col("copy").alias(f"copy_{x}"), F.col("n_shingles").alias(f"n{x}"), F.col("profile").alias(f"p{x}"))
 
-    pairs = pairs.join(profiled("a"), ["a", "copy_a", "na"]).join(profiled("b"), ["b", "copy_b", "nb"]).select("a", "copy_a", "b", "copy_b", "na", "nb", "pa", "pb", "shared")
+    pairs = sized.join(profiled("a"), ["a", "copy_a", "na"]).join(profiled("b"), ["b", "copy_b", "nb"]).select("a", "copy_a", "b", "copy_b", "na", "nb", "pa", "pb", "shared")
     pairs = save(pairs.mapInArrow(_possible(percent), "a long, copy_a int, b long, copy_b int, shared long"), "pairs")
     members = save(met.where("b is null").select("sig", F.col("a").alias("low")).join(nodes.select("low", F.col("rep").alias("doc_id"), "copy", "n_shingles"), "low").drop("low"), "members")
+    discard(met)
+    discard(sized)
     known = pairs.select(F.col("a").alias("doc_id"), F.col("copy_a").alias("copy")).union(pairs.select("b", "copy_b")).union(members.select("doc_id", "copy")).distinct()
     texts = save(slim.join(known, ["doc_id", "copy"]).groupBy("doc_id", "copy").agg(F.max("text").alias("text")), "texts")
 
@@ -437,6 +439,9 @@ def similar_groups(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> D
         if not late.isEmpty():
             comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
 
+    for used in (pairs, members, best, texts):
+        discard(used)
+
     found = links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count(F.lit(1)).alias("links_used"))
     classes = nodes.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").join(found, "rep", "left")
     classes = classes.select(*name, F.coalesce("component", "rep").alias("component"), F.coalesce("links_used", F.lit(0)).alias("links_used"))
