@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm import decontaminate, mixing, ngram_jaccard, quality_qda, substring_dedup
 from tidemark.llm.store import save
@@ -23,18 +24,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the classifier does not reject, unchanged; all of them if the labels can't teach it.
+
+    Null and empty texts are judged by their statistics, repeated rows alike.
+    """
     return quality_qda.keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row stays of rows that repeat a doc_id; rows without an id stay all."""
+    """The smallest document of each group, unchanged; rows without an id stay all.
+
+    Of rows that repeat a doc_id the one whose hash is smallest stays, so reruns keep the same.
+    Null and empty texts are like nothing else and stay.
+    """
     groups = ngram_jaccard.similar_groups(docs)
     stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    place = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").withColumn("_place", F.row_number().over(place)).where("_place = 1")
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that a smaller document has; documents of nothing else go.
+
+    A text that loses nothing stays as it is, so do null and empty ones and those without an id;
+    ``n_chars``, if there, follows the text.
+    """
     cut = substring_dedup.remove_repeats(docs, with_text=True)
     cut = cut.where("n_removed = 0 or n_removed < n_words").withColumn("text", F.col("kept_text"))
     if "n_chars" in docs.columns:
@@ -43,10 +58,12 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows in which no benchmark item is found, unchanged; all of them if the benchmark is empty."""
     return decontaminate.without_leaks(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, numbered by ``copy``; documents without words follow their source."""
     mixed = mixing.mix_sources(docs).where("copies > 0")
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns, "copy")
 
