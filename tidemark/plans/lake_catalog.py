@@ -8,17 +8,23 @@ each folder of tables.
 
 from __future__ import annotations
 
+import os
+import shutil
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans import metadata, research, resample, validate
+from tidemark.functions.exprs import as_date
+from tidemark.plans import fetch, ingest, metadata, research, resample, validate
 from tidemark.schemas import DAILY, RAW, TABLES
 from tidemark.session import SETTINGS, shared_scratch
 from tidemark.sources.lake import MetaStore, read_dataset, write_partitioned
+from tidemark.sources.paths import archive_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -26,6 +32,8 @@ ORACLE_SQL: dict[str, str] = {}
 SECOND_PART = "2024-01-16"
 ENTRY, EXIT = 1, 2
 _MADE: dict[tuple[str, str], tuple[str, str]] = {}
+#: The folder of tables that a lake was made of.
+_TABLES_OF: dict[str, str] = {}
 
 
 @contextmanager
@@ -64,7 +72,7 @@ def _lake(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
             metadata.build_metadata(spark, root, meta)
         for dataset in DAILY:
             resample.resample_bars(spark, root, dataset=dataset)
-        _MADE[key] = root, meta
+        _MADE[key], _TABLES_OF[root] = (root, meta), sf_dir
     return _MADE[key]
 
 
@@ -259,3 +267,82 @@ def lake_violations(spark: SparkSession, root: str, meta: str) -> DataFrame:
     run = validate.validate_metadata(spark, root, copy.root)
     found = [(c.check_id, c.status, int(c.metrics["violations"])) for c in run.checks if c.category == "invariant" and "violations" in (c.metrics or {})]
     return spark.createDataFrame(found, "check_id string, status string, violations long")
+
+
+# ---------------------------------------------------------------- archives
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder for archives, which are files to Python; its path must be one that all executors see."""
+    root = shared_scratch(spark).removeprefix("file:")
+    path = f"/{root.lstrip('/')}/{name}-{uuid.uuid4().hex}"
+    os.makedirs(path)
+    return path
+
+
+def _archived(rows: DataFrame, folder: str) -> int:
+    """Writes klines and funding of each symbol's day as the archives a store would have; their number."""
+
+    def write(key: tuple, day: pd.DataFrame) -> pd.DataFrame:
+        dataset, symbol, date = key
+        times = [repr(float(t)) for t in day["time_ms"]]
+        if dataset == "funding":
+            lines = ["﻿symbol;time;fundingRate", *(f"{symbol};{t};{v!r}" for t, v in zip(times, day["funding_rate"], strict=True))]
+        else:
+            lines = ["time,open,high,low,close,volume", *(",".join([t, *map(repr, v)]) for t, v in zip(times, day[["open", "high", "low", "close", "volume"]].astype(float).values.tolist(), strict=True))]
+        path = os.path.join(folder, archive_key(symbol, dataset, as_date(date)))
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("rows.csv", "\n".join(lines) + "\n")
+        os.utime(path, (1, 1))  # long since written
+        return pd.DataFrame({"n": [len(day)]})
+
+    return rows.where("dataset in ('klines', 'funding')").groupBy("dataset", "symbol", "date").applyInPandas(write, "n long").count()
+
+
+@_register(f"""with {_ROWS}, ar as (select * from lk where dataset in ('klines', 'funding')), g as (select dataset, symbol, cast(date as varchar) as date, count(*) as n, round(sum(close), 6) as total, min(epoch_us(ts) // 1000) as first_ms from ar group by dataset, symbol, date)
+select * from g union all select dataset || ':done', '', '', count(*), 0, 0 from g group by dataset union all select dataset || ':skipped', '', '', count(*), 0, 0 from g group by dataset union all select dataset || ':failed', '', '', 0, 0, 0 from g group by dataset""")
+def lake_ingest(spark: SparkSession, root: str, meta: str) -> DataFrame:
+    """Archives made of events, read into a lake, and a second time, when all are there."""
+    downloads, lake = _folder(spark, "archives"), f"{meta}-ingested-{uuid.uuid4().hex}"
+    _archived(_rows(spark, _TABLES_OF[root]), downloads)
+    window = {"start_date": "2024-01-01", "end_date": "2024-02-01", "datasets": ["klines", "funding"], "error_log": f"{downloads}/errors.jsonl"}
+    first = ingest.ingest_local_downloads_to_lake(spark, downloads, lake, **window)["datasets"]
+    again = ingest.ingest_local_downloads_to_lake(spark, downloads, lake, done="targets", **window)["datasets"]
+    counts = [(f"{d}:{what}", "", "", n, 0.0, 0) for d in first for what, n in (("done", first[d]["done"]), ("skipped", again[d]["skipped"]), ("failed", first[d]["failed"] + first[d]["invalid"] + again[d]["done"]))]
+    out = spark.createDataFrame(counts, "dataset string, symbol string, date string, n long, total double, first_ms long")
+    for dataset, value in (("klines", "close"), ("funding", "funding_rate")):
+        df = read_dataset(spark, lake, dataset)
+        out = out.unionByName(df.groupBy(F.lit(dataset).alias("dataset"), "symbol", "date").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(value), 6).alias("total"), F.min("time_ms").alias("first_ms")))
+    return out
+
+
+@_register(f"""with {_ROWS}, ks as (select distinct symbol, date from lk where dataset = 'klines'), n as (select count(*) as listed, count(*) filter (symbol = 'S1') as here from ks)
+select unnest(['requested', 'remote_listed', 'planned', 'downloaded', 'skipped_exists', 'missing_remote', 'errors', 'files']) as name,
+  unnest([93, listed, listed - here, listed - here - 1, here, 93 - listed, 1, listed - 1]) as value from n""")
+def lake_fetch(spark: SparkSession, root: str, meta: str) -> DataFrame:
+    """A download from a store that is busy at first and forbids one archive; those of a symbol are there already."""
+    store, out_root, asked = _folder(spark, "store"), _folder(spark, "fetched"), set()
+    _archived(_rows(spark, _TABLES_OF[root]).where("dataset = 'klines'"), store)
+    keys = sorted(os.path.relpath(os.path.join(d, f), store) for d, _, names in os.walk(store) for f in names)
+    for key in (k for k in keys if "/S1/" in k):
+        os.makedirs(os.path.dirname(os.path.join(out_root, key)), exist_ok=True)
+        shutil.copy(os.path.join(store, key), os.path.join(out_root, key))
+    forbidden = next(k for k in keys if "/S0/" in k)
+
+    def get(path: str, params: dict, timeout) -> tuple[int, bytes]:
+        if not path:
+            found = "".join(f"<Contents><Key>{k}</Key></Contents>" for k in keys if k.startswith(params["prefix"]))
+            return 200, f"<ListBucketResult>{found}</ListBucketResult>".encode()
+        if path == forbidden:
+            return 403, b""
+        if path not in asked:
+            asked.add(path)
+            return 503, b""
+        with open(os.path.join(store, path), "rb") as f:
+            return 200, f.read()
+
+    done = fetch.fetch_futures(spark, out_root, ["S0", "S1", "S2"], "klines", get=get, start_date="2024-01-01", end_date="2024-01-31", backoff_s=0.0)
+    names = ("requested", "remote_listed", "planned", "downloaded", "skipped_exists", "missing_remote", "errors")
+    files = sum(f.endswith(".zip") for _, _, found in os.walk(out_root) for f in found)
+    return spark.createDataFrame([*((n, int(done[n])) for n in names), ("files", files)], "name string, value long")
