@@ -110,6 +110,17 @@ def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kinds[t]) for c, (_, t) in enumerate(fields)], names=[n for n, _ in fields])
 
 
+def _narrow(v: np.ndarray) -> np.ndarray:
+    """Whole numbers in as many bytes, one, four or eight, as the largest needs."""
+    most = v.max(initial=0)
+    return v.astype("<u1" if most < 1 << 8 else "<u4" if most < 1 << 32 else "<u8")
+
+
+def _widened(b: bytes, n: int) -> np.ndarray:
+    """n numbers that ``_narrow`` wrote."""
+    return np.frombuffer(b, dtype=f"<u{len(b) // n}" if n else "<u1")
+
+
 def _ranges(words: np.ndarray, ranges: int) -> np.ndarray:
     """Where each range begins among sorted words of 56 bits."""
     return np.searchsorted((words >> _U(56 - (ranges.bit_length() - 1))).astype(np.int64), np.arange(ranges + 1))
@@ -118,7 +129,7 @@ def _ranges(words: np.ndarray, ranges: int) -> np.ndarray:
 def _requests(bucket: int, words: np.ndarray, ranges: int, counts: np.ndarray | None, tables: np.ndarray | None) -> list[tuple]:
     """A row to each range for sorted words."""
     cut, own = _ranges(words, ranges), _bytes(words, 7)
-    part = lambda v, a, b: None if v is None else v[a:b].astype("<u4").tobytes()
+    part = lambda v, a, b: None if v is None else _narrow(v[a:b]).tobytes()
     return [(r, bucket, own[a:b].tobytes(), part(counts, a, b), part(tables, a, b)) for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
 
 
@@ -364,9 +375,10 @@ class _Contexts:
         self.all_customers = np.bincount(self.context, weights=self.customers, minlength=len(split))
         self.all_customers[split] = hot.customers[self.hot[split]]
 
-    def answered(self, column: str, kind: str) -> np.ndarray:
-        """What ranges answered for each dish: ranges are in the order of dishes."""
-        got = np.concatenate([np.frombuffer(r[column], dtype=kind) for r in self.answers]) if self.answers else np.zeros(0, dtype=kind)
+    def answered(self, column: str) -> np.ndarray:
+        """What ranges answered for each dish, shares or counts: ranges are in the order of dishes."""
+        shares = [np.frombuffer(r["shares"], dtype="<f4").astype(np.float64) for r in self.answers]
+        got = np.concatenate(shares if column == "shares" else [_widened(r["counts"], len(s)) for r, s in zip(self.answers, shares, strict=True)]) if shares else np.zeros(0)
         if len(got) != len(self.dishes):
             raise ValueError(f"{len(got)} answers to {len(self.dishes)} requests")
         return got
@@ -394,7 +406,7 @@ def _seat_all(parent: Parent, ranges: int, hot: Hot, number: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches):
             x = _Contexts(rows, hot)
-            p0 = parent.probability(x.answered("shares", "<f8"))[x.dish]
+            p0 = parent.probability(x.answered("shares"))[x.dish]
             tables = np.zeros(len(x.dish))
             for t, _ in sweeps(x.customers, x.context, p0, Draws(x.keys, number), x.split):
                 tables += t
@@ -407,8 +419,8 @@ def _score(parent: Parent, hot: Hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches):
             x = _Contexts(rows, hot)
-            count = x.answered("counts", "<i8")[x.dish]
-            p0 = parent.probability(x.answered("shares", "<f8"))[x.dish]
+            count = x.answered("counts")[x.dish]
+            p0 = parent.probability(x.answered("shares"))[x.dish]
             p = predictive(x.customers, x.context, p0, Draws(x.keys, 0), x.split, x.all_customers)
             yield _table(_replies(x.rows, x.lengths, x.doc, np.rint(np.log10(p) * FIXED)[x.cell], np.log10(count + 0.1)[x.cell], (count > 0)[x.cell]), _BACK)
 
@@ -460,8 +472,8 @@ def _sum(seated: bool):
                 yield emit(now, parts)
                 parts, held = [], 0
             now, words = r["range"], _numbers(r["words"], 7)
-            count = np.zeros(len(words)) if r["counts"] is None else np.frombuffer(r["counts"], dtype="<i8" if r["bucket"] < 0 else "<u4")
-            tables = np.frombuffer(r["tables"], dtype="<u4") / SWEEPS if r["tables"] is not None else np.zeros(len(words)) if seated else count
+            count = np.zeros(len(words)) if r["counts"] is None else np.frombuffer(r["counts"], dtype="<i8") if r["bucket"] < 0 else _widened(r["counts"], len(words))
+            tables = _widened(r["tables"], len(words)) / SWEEPS if r["tables"] is not None else np.zeros(len(words)) if seated else count
             parts.append((words, count, tables))
             held += len(words)
             if held > 1_000_000:  # summed as it grows: no more than one table of the range stays
@@ -508,7 +520,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         else:
             at = np.minimum(np.searchsorted(words, asked), len(words) - 1)
             values = [np.where(words[at] == asked, v[at], 0) for v in (count, share)]
-        yield _table([(r["bucket"], r["range"], values[0].astype("<i8").tobytes(), values[1].astype("<f8").tobytes())], _ANSWER)
+        yield _table([(r["bucket"], r["range"], _narrow(values[0]).tobytes(), values[1].astype("<f4").tobytes())], _ANSWER)
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
