@@ -46,7 +46,12 @@ def _register(sql: str):
 
 
 def _round(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*(F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+    """Doubles rounded as the SQL's engine does it: scaled, rounded to a whole number, scaled back.
+
+    F.round goes by the shortest decimal of a double instead, which takes 97.46906249999999 down where the scaled number is 97469062.5.
+    """
+    scale = F.lit(10.0**digits)
+    return df.select(*(F.when(F.abs(F.col(c)) < 1e300, F.round(F.col(c) * scale, 0) / scale).otherwise(F.col(c)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
 # ---------------------------------------------------------------- inputs
@@ -133,7 +138,7 @@ _BARS_1D = """symbol, date, round(first(open order by ts, event_id), 6) as open,
 
 @_register(f"with {_TICKS} select {_BARS_1D}")
 def bars_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(bars.daily_bars(_ticks(spark, sf_dir), ["symbol", "date"], ["event_id"]))
+    return _round(bars.daily_bars(_ticks(spark, sf_dir), ["symbol", "date"], ["event_id"], in_order=True))
 
 
 @_register(f"""with {_TICKS} select event_type as symbol, date, round(first(open order by ts, event_id), 6) as open, round(max(high), 6) as high, round(min(low), 6) as low,
