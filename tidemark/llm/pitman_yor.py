@@ -84,6 +84,8 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
 
 
 #: Occurrences of hot contexts come first, with the number of their context each; the others are runs of one context.
+#: Columns of ``_WIDTHS`` are squeezed, as numbers of so many bytes (words repeat whole).
+_WIDTHS = {"hot": 2, "contexts": 7, "runs": 4, "docs": 2, "words": 1}
 _PACKED = "bucket int, slice long, held binary, ids binary, sizes binary, hot binary, contexts binary, runs binary, docs binary, words binary"
 #: To a range of words: some words, and training tokens of each or SWEEPS times its tables. Range -1: numbers of hot contexts and their tables.
 _ASK = "range int, bucket int, words binary, counts binary, tables binary"
@@ -121,6 +123,20 @@ def _widened(b: bytes, n: int) -> np.ndarray:
     return np.frombuffer(b, dtype=f"<u{len(b) // n}" if n else "<u1")
 
 
+def _squeezed(b: bytes, width: int = 1) -> bytes:
+    """Length, then zstd of the bytes; of wider numbers all first bytes come first, then all second ones and so on."""
+    planes = b if width == 1 else np.frombuffer(b, dtype=np.uint8).reshape(-1, width).T.tobytes()
+    return len(b).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True) if b else b
+
+
+def _restored(b: bytes, width: int = 1) -> bytes:
+    """What ``_squeezed`` was given."""
+    if not b:
+        return b
+    whole = pa.decompress(memoryview(b)[8:], int.from_bytes(b[:8], "little"), codec="zstd", asbytes=True)
+    return whole if width == 1 else np.frombuffer(whole, dtype=np.uint8).reshape(width, -1).T.tobytes()
+
+
 def _ranges(words: np.ndarray, ranges: int) -> np.ndarray:
     """Where each range begins among sorted words of 56 bits."""
     return np.searchsorted((words >> _U(56 - (ranges.bit_length() - 1))).astype(np.int64), np.arange(ranges + 1))
@@ -196,7 +212,8 @@ def _pack(buckets: int, hot: Hot):
                     continue
                 about = (b"".join((i if i is not None else -(1 << 63)).to_bytes(8, "little", signed=True) for i in ids), size.astype("<u4").tobytes()) if b == meta else (None, None)
                 rx, ry = at_run[b], at_run[b + 1]
-                rows.append((b, number, np.packbits(held).tobytes(), *about, numbers[at_hot[b] : at_hot[b + 1]].tobytes(), keys[rx:ry].tobytes(), run_n[rx:ry].tobytes(), docs[x:y].tobytes(), words[x:y].tobytes()))
+                own = (numbers[at_hot[b] : at_hot[b + 1]], keys[rx:ry], run_n[rx:ry], docs[x:y], words[x:y])
+                rows.append((b, number, np.packbits(held).tobytes(), *about, *(_squeezed(v.tobytes(), width) for v, width in zip(own, _WIDTHS.values(), strict=True))))
             yield _table(rows, _PACKED)
 
     return run
@@ -219,6 +236,8 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
         if rows and rows[0]["bucket"] != r["bucket"]:
             yield rows
             rows = []
+        if r["slice"] is not None:
+            r |= {c: _restored(r[c], width) for c, width in _WIDTHS.items()}
         rows.append(r)
     if rows:
         yield rows
@@ -235,7 +254,7 @@ def _replies(rows: list[dict], lengths: list[int], doc: np.ndarray, score: np.nd
         width = "<u1" if not n or sums[2].max() < 1 << 8 else "<u4"
         score_width = "<i4" if not n or np.abs(sums[0]).max() < 1 << 31 else "<i8"
         held = r["held"] if r["ids"] is not None else None
-        out.append((r["slice"], r["bucket"], r["ids"], r["sizes"], held, there.astype("<u2").tobytes(), sums[0].astype(score_width).tobytes(), sums[1].astype("<f8").tobytes(), sums[2].astype(width).tobytes()))
+        out.append((r["slice"], r["bucket"], r["ids"], r["sizes"], held, _squeezed(there.astype("<u2").tobytes(), 2), _squeezed(sums[0].astype(score_width).tobytes(), int(score_width[-1])), sums[1].astype("<f8").tobytes(), _squeezed(sums[2].astype(width).tobytes())))
         at += n
     return out
 
@@ -531,12 +550,13 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = np.frombuffer(about["ids"], dtype="<i8")
         score, base, seen = np.zeros(len(ids)), np.zeros(len(ids)), np.zeros(len(ids), dtype=np.int64)
         for r in sorted(rows, key=lambda r: r["bucket"]):
-            d = np.frombuffer(r["docs"], dtype="<u2")
+            d = np.frombuffer(_restored(r["docs"], 2), dtype="<u2")
             if not len(d):
                 continue
-            score[d] += np.frombuffer(r["sums"], dtype="<i4" if len(r["sums"]) == 4 * len(d) else "<i8")
+            score_width = int.from_bytes(r["sums"][:8], "little") // len(d)
+            score[d] += np.frombuffer(_restored(r["sums"], score_width), dtype=f"<i{score_width}")
             base[d] += np.frombuffer(r["base"], dtype="<f8")
-            seen[d] += np.frombuffer(r["known"], dtype="<u1" if len(r["known"]) == len(d) else "<u4")
+            seen[d] += _widened(_restored(r["known"]), len(d))
         cols = [pa.array(ids, mask=ids == -(1 << 63)), pa.array(_held(about)[: len(ids)]), pa.array(np.frombuffer(about["sizes"], dtype="<u4").astype(np.int64)), pa.array(seen), pa.array(base), pa.array(score / FIXED)]
         return pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
 
