@@ -57,10 +57,15 @@ def _round(df: DataFrame, digits: int = 6) -> DataFrame:
 # ---------------------------------------------------------------- inputs
 
 
-def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Where a row is stored: the SQL's engine adds rows in this order (on one thread; on more, its sums vary from run to run).
+_STORED = {"_file": "_metadata.file_path", "_row": "_metadata.row_index"}
+
+
+def _ticks(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_id", "cast(user_id as string) as symbol", "event_type", "ts", "cast(ts as date) as date", "value as open",
         "value + event_id % 3 as high", "value - event_id % 2 as low", "value as close", "cast(event_id % 7 + 1 as double) as volume",
+        *(f"{x} as {c}" for c, x in _STORED.items() if stored),
     )
 
 
@@ -138,7 +143,7 @@ _BARS_1D = """symbol, date, round(first(open order by ts, event_id), 6) as open,
 
 @_register(f"with {_TICKS} select {_BARS_1D}")
 def bars_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(bars.daily_bars(_ticks(spark, sf_dir), ["symbol", "date"], ["event_id"], in_order=True))
+    return _round(bars.daily_bars(_ticks(spark, sf_dir, stored=True), ["symbol", "date"], ["event_id"], in_order=list(_STORED)))
 
 
 @_register(f"""with {_TICKS} select event_type as symbol, date, round(first(open order by ts, event_id), 6) as open, round(max(high), 6) as high, round(min(low), 6) as low,
