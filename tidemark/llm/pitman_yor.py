@@ -174,28 +174,38 @@ class Hot:
         """Numbers of hot contexts, -1 for others."""
         if not len(self.contexts):
             return np.full(len(contexts), -1)
-        at = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
+        # from the first of those that share its upper 16 bits, on past smaller ones
+        many = np.bincount((self.contexts >> _U(40)).astype(np.int64), minlength=1 << 16)
+        last = len(self.contexts) - 1
+        at = np.minimum(np.cumsum(many) - many, last)[(contexts >> _U(40)).astype(np.int64)]
+        for _ in range(int(many.max()) - 1):
+            at += (self.contexts[at] < contexts) & (at < last)
         return np.where(self.contexts[at] == contexts, at, -1)
 
 
 def _pack(buckets: int, hot: Hot):
     """Rows of contexts, with the words behind them, by bucket of the context, or of context and word where it is hot."""
-    shift = _U(56 - (buckets.bit_length() - 1))
+    bits = buckets.bit_length() - 1
+    shift = _U(56 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, ids, held, w in _slices(batches):
             size = np.diff(w.offsets) + 1
             word = np.insert(w.hashes, w.offsets[1:], _END) >> _U(8)
-            doc = np.repeat(np.arange(len(ids)), size)
+            doc = np.repeat(np.arange(len(ids), dtype="<u2"), size)
             key = np.insert(w.hashes, w.offsets[:-1], _BEGIN) >> _U(8)
             bucket = key >> shift
             among = hot.among(key)
             split = among >= 0
             bucket[split] = (tx.mix(key[split] + tx.mix(word[split], 83), 84) >> _U(8)) >> shift
-            inner = np.where(split, among.astype(_U), (key & _U((1 << 48) - 1)) | _U(1 << 47))
-            order = np.argsort((bucket << _U(48)) + inner, kind="stable")
-            key, bucket, among, docs = key[order], bucket[order], among[order], doc[order].astype("<u2")
-            first = _runs(bucket, key)
+            # numbers that hold bucket, context and place sort faster than places do; two contexts cut alike give shorter runs
+            places = len(key).bit_length()
+            wide = 64 - bits - places
+            inner = np.where(split, among.astype(_U), ((key << _U(8 + bits)) >> _U(65 - wide)) | _U(1 << (wide - 1)))
+            inner = np.sort((bucket << _U(64 - bits)) | (inner << _U(places)) | np.arange(len(key), dtype=_U))
+            order = (inner & _U((1 << places) - 1)).astype(np.int64)
+            key, bucket, among, docs = key[order], inner >> _U(64 - bits), among[order], doc[order]
+            first = _runs(key)
             first = first[among[first] < 0]
             at = np.searchsorted(bucket.astype(np.int64), np.arange(buckets + 1))
             at_run = np.searchsorted(first, at)
@@ -205,7 +215,7 @@ def _pack(buckets: int, hot: Hot):
             keys, run_n = _bytes(key[first], 7), np.diff(np.append(cold[first] - 1, cold[-2] if len(key) else 0)).astype("<u4")
             words = _bytes(word[order], 7)
             meta = int(tx.mix(np.array([number], dtype=_U))[0] % _U(buckets))
-            rows = []
+            rows, apart = [], np.packbits(held).tobytes()
             for b in range(buckets):
                 x, y = at[b], at[b + 1]
                 if x == y and b != meta:
@@ -213,7 +223,7 @@ def _pack(buckets: int, hot: Hot):
                 about = (b"".join((i if i is not None else -(1 << 63)).to_bytes(8, "little", signed=True) for i in ids), size.astype("<u4").tobytes()) if b == meta else (None, None)
                 rx, ry = at_run[b], at_run[b + 1]
                 own = (numbers[at_hot[b] : at_hot[b + 1]], keys[rx:ry], run_n[rx:ry], docs[x:y], words[x:y])
-                rows.append((b, number, np.packbits(held).tobytes(), *about, *(_squeezed(v.tobytes(), width) for v, width in zip(own, _WIDTHS.values(), strict=True))))
+                rows.append((b, number, apart, *about, *(_squeezed(v.tobytes(), width) for v, width in zip(own, _WIDTHS.values(), strict=True))))
             yield _table(rows, _PACKED)
 
     return run
@@ -294,7 +304,12 @@ class Draws:
         drawn.base = self.base + (n << 40)
         return drawn
 
-    def uniform(self, cells: np.ndarray, customer: int, more: int = 0) -> np.ndarray:
+    def of(self, cells: np.ndarray) -> Draws:
+        drawn = Draws(self.keys[cells], 0)
+        drawn.base = self.base
+        return drawn
+
+    def uniform(self, cells: np.ndarray | slice, customer: int, more: int = 0) -> np.ndarray:
         salt = _U(((self.base + (customer << 8) + more) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
         return ((tx.mix(self.keys[cells] ^ salt, 85) >> _U(11)).astype(np.float64) + 0.5) / (1 << 53)
 
@@ -317,24 +332,36 @@ class Draws:
         return np.where(turned, n - out, out)
 
 
-def seat(c: np.ndarray, tables_there: np.ndarray, p0: np.ndarray, draws: Draws, d: float = DISCOUNT, strength: float = STRENGTH) -> np.ndarray:
+def seat(c: np.ndarray, tables_there: np.ndarray, p0: np.ndarray, draws: Draws, d: float = DISCOUNT, strength: float = STRENGTH, order: np.ndarray | None = None) -> np.ndarray:
     """Tables of each dish after seating its c customers one after the other.
 
-    ``tables_there``: the restaurant's tables of other dishes; p0: the parent's probability.
+    ``tables_there``: the restaurant's tables of other dishes; p0: the parent's probability;
+    ``order``: what ``by_customers`` gives for c.
     """
     t = (c > 0).astype(np.float64)
-    active, j = np.flatnonzero(c > 1), 1
-    while len(active):
+    order = by_customers(c) if order is None else order
+    # those with customers left stay in front
+    left, there, up, own = -c[order], tables_there[order], p0[order], t[order]
+    draws = draws.of(order)
+    n, j = len(order), 1
+    while n:
         step = 1 if j < SINGLE else max(1, j // 10)
-        now = np.minimum(c[active] - j, step)
-        new = (strength + d * (tables_there[active] + t[active])) * p0[active]
-        p = new / (new + np.maximum(j - d * t[active], 1e-12))
-        t[active] += draws.binomial(active, now, p, j) if step > 1 else draws.uniform(active, j) < p
+        now = np.minimum(-left[:n] - j, step) if step > 1 else 1
+        new = (strength + d * (there[:n] + own[:n])) * up[:n]
+        p = new / (new + np.maximum(j - d * own[:n], 1e-12))
+        own[:n] += draws.binomial(np.arange(n), now, p, j) if step > 1 else draws.uniform(slice(n), j) < p
         j += step
-        active = active[c[active] > j]
+        n = int(np.searchsorted(left[:n], -j))
+    t[order] = own
     return t
 
 
+def by_customers(c: np.ndarray) -> np.ndarray:
+    """Dishes of more than one customer, those with most first."""
+    many = np.flatnonzero(c > 1)
+    return many[np.argsort(-c[many], kind="stable")]
+
+
 def sweeps(c: np.ndarray, context: np.ndarray, p0: np.ndarray, draws: Draws, split: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Tables of each (context, dish) cell and of each context after Gibbs sweeps, the first BURN_IN left out.
 
@@ -347,9 +374,9 @@ def sweeps(c: np.ndarray, context: np.ndarray, p0: np.ndarray, draws: Draws, spl
     def summed() -> np.ndarray:
         return np.where(split >= 0, split, np.bincount(context, weights=t, minlength=n))
 
-    total = summed()
+    total, order = summed(), by_customers(c)
     for sweep in range(BURN_IN + SWEEPS):
-        t = seat(c, np.maximum(total[context] - t, 0), p0, draws.sweep(sweep))
+        t = seat(c, np.maximum(total[context] - t, 0), p0, draws.sweep(sweep), order=order)
         total = summed()
         if sweep >= BURN_IN:
             yield t, total
@@ -364,6 +391,17 @@ def predictive(c: np.ndarray, context: np.ndarray, p0: np.ndarray, draws: Draws,
     return out / SWEEPS
 
 
+def _order(context: np.ndarray, kinds: int, word: np.ndarray) -> np.ndarray:
+    """Places of occurrences by number of context, then word: by both in one number, as far as it holds a word's upper bits."""
+    left = 64 - max(8, kinds.bit_length())
+    both = (context << _U(left)) | (word >> _U(56 - left))
+    order = np.argsort(both)
+    both, word_there = both[order], word[order]
+    if np.any((both[1:] == both[:-1]) & (word_there[1:] != word_there[:-1])):  # two words cut alike
+        return np.lexsort((word, context))
+    return order
+
+
 class _Contexts:
     """Occurrences of one bucket of contexts, their (context, dish) cells and its dishes, in order."""
 
@@ -373,15 +411,18 @@ class _Contexts:
         docs = [np.frombuffer(r["docs"], dtype="<u2").astype(np.int64) for r in rows]
         self.doc, self.lengths = np.concatenate(docs), [len(d) for d in docs]
         learn = np.concatenate([~_held(r)[d] for r, d in zip(rows, docs, strict=True)])
-        context = np.concatenate([x for r in rows for x in (hot.contexts[np.frombuffer(r["hot"], dtype="<u2")], np.repeat(_numbers(r["contexts"], 7), np.frombuffer(r["runs"], dtype="<u4")))])
+        runs = [_numbers(r["contexts"], 7) for r in rows]
+        kinds, number = np.unique(np.concatenate([hot.contexts, *runs]), return_inverse=True)
+        numbers = np.split(number.astype(_U), np.cumsum([len(hot.contexts), *map(len, runs[:-1])]))
+        context = np.concatenate([x for r, own in zip(rows, numbers[1:], strict=True) for x in (numbers[0][np.frombuffer(r["hot"], dtype="<u2")], np.repeat(own, np.frombuffer(r["runs"], dtype="<u4")))])
         word = np.concatenate([_numbers(r["words"], 7) for r in rows])
-        order = np.lexsort((word, context))
+        order = _order(context, len(kinds), word)
         context, word = context[order], word[order]
         first = _runs(context, word)
         self.cell = np.empty(len(order), dtype=np.int64)
         self.cell[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
         self.customers = np.bincount(self.cell, weights=learn, minlength=len(first)).astype(np.int64)
-        own = context[first]
+        own = kinds[context[first].astype(np.int64)]
         self.context = np.zeros(len(first), dtype=np.int64)
         self.context[1:] = np.cumsum(own[1:] != own[:-1])
         self.dishes, self.dish = np.unique(word[first], return_inverse=True)
@@ -514,9 +555,9 @@ def _seat_parent(parent: Parent, number: int):
         for r in _one_by_one(batches):
             words, customers = _numbers(r["words"], 7), np.frombuffer(r["customers"], dtype="<f8")
             c, p0 = np.ceil(customers).astype(np.int64), np.full(len(words), 1 / (parent.vocabulary + 1))
-            tables = np.zeros(len(words))
+            tables, order = np.zeros(len(words)), by_customers(c)
             for sweep in range(SWEEPS):
-                tables += seat(c, np.full(len(words), max(parent.tables - 1, 0.0)), p0, Draws(tx.mix(words, 88), number).sweep(sweep), parent.discount, PARENT_STRENGTH)
+                tables += seat(c, np.full(len(words), max(parent.tables - 1, 0.0)), p0, Draws(tx.mix(words, 88), number).sweep(sweep), parent.discount, PARENT_STRENGTH, order)
             tables /= SWEEPS
             yield _table([(r["range"], r["words"], r["counts"], np.maximum(customers - parent.discount * tables, 0).astype("<f8").tobytes(), float(tables.sum()))], _SHARES)
 
